@@ -20,18 +20,23 @@ _INTEGER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 _NUMBER_TYPES = _INTEGER_TYPES + ("DOUBLE", "FLOAT", "BOOLEAN")
 
 
-def parse_json_object(text: Column) -> tuple[Column, Column]:
-    """Return ``(variant, is_object)`` for a JSON text column.
+def is_json_object(v: Column, text: Column) -> Column:
+    """True when the parsed variant ``v`` of ``text`` is a JSON object.
 
-    ``is_object`` is false for invalid JSON, for JSON that is not an object
-    (``null``, ``5``, ``[]``) and for text with trailing garbage after the
-    closing brace, which the variant parser would otherwise tolerate.
+    False for invalid JSON, for JSON that is not an object (``null``, ``5``,
+    ``[]``) and for text with trailing garbage after the closing brace, which
+    the variant parser would otherwise tolerate.  Pass the *column* holding
+    the parsed variant, so the text is parsed only once.
     """
-    v = F.try_parse_json(text)
-    is_obj = (v.isNotNull()
-              & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-              & F.coalesce(text.rlike(r"\}\s*\z"), F.lit(False)))
-    return v, is_obj
+    return (v.isNotNull()
+            & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+            & F.coalesce(text.rlike(r"\}\s*\z"), F.lit(False)))
+
+
+def with_parsed_json(df, text_col: str, variant_col: str = "_v", object_col: str = "_is_obj"):
+    """Add the parsed VARIANT and the is-object flag (one parse per row)."""
+    out = df.withColumn(variant_col, F.try_parse_json(F.col(text_col)))
+    return out.withColumn(object_col, is_json_object(F.col(variant_col), F.col(text_col)))
 
 
 def json_type(v: Column, path: str) -> Column:

@@ -23,22 +23,22 @@ def money_sum(amount: Column) -> Column:
     return F.sum(cents(amount)).cast("double")
 
 
-def py_float_text(x: Column) -> Column:
+def py_float_text(x: Column, max_decimals: int = 17) -> Column:
     """DOUBLE -> the text Python's ``str(float)`` prints for it.
 
-    Spark prints the shortest round-trip digits like Python does, but switches
-    to ``1.2345678E7`` notation from 1e7 on, where Python keeps positional
-    notation up to 1e16.  That range is rewritten positionally here.
+    Python prints the shortest decimal that reads back as the same double, in
+    positional notation for 1e-4 <= |x| < 1e16.  For a fixed magnitude the
+    shortest such decimal is the one with the fewest fraction digits, so the
+    text is the first ``round(x, d)``, d = 0, 1, ..., that converts back to
+    ``x`` exactly (one DECIMAL cast per step, all JVM-side).  ``.0`` is kept
+    for whole numbers.  Outside that range Spark's own text is returned.
     """
-    s = x.cast("string")
-    sci = s.rlike(r"^-?[0-9]\.[0-9]+E[0-9]+$")
-    sign = F.regexp_extract(s, r"^(-?)", 1)
-    digits = F.concat(F.regexp_extract(s, r"^-?([0-9])\.", 1),
-                      F.regexp_extract(s, r"\.([0-9]+)E", 1))
-    exp = F.regexp_extract(s, r"E([0-9]+)$", 1).cast("int")
-    int_len = exp + 1
-    int_part = F.rpad(digits, F.greatest(int_len, F.length(digits)), "0").substr(F.lit(1), int_len)
-    frac_part = F.when(F.length(digits) > int_len,
-                       digits.substr(int_len + 1, F.length(digits))).otherwise(F.lit("0"))
-    positional = F.concat(sign, int_part, F.lit("."), frac_part)
-    return F.when(sci & (F.abs(x) < 1e16), positional).otherwise(s)
+    text = None
+    for d in range(max_decimals + 1):
+        cand = x.cast(f"decimal(38,{d})")
+        shown = F.concat(cand.cast("string"), F.lit(".0")) if d == 0 else cand.cast("string")
+        hit = cand.cast("double") == x
+        text = F.when(hit, shown) if text is None else text.when(hit, shown)
+    positional = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16)
+    return F.when(x.isNull(), F.lit(None).cast("string")).when(x == 0, F.lit("0.0")) \
+        .when(positional, text.otherwise(x.cast("string"))).otherwise(x.cast("string"))

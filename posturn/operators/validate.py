@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.ids import canonical_uuid, is_uuid_text
-from ..functions.jsonv import JType, get_double, get_string, json_type, parse_json_object, python_str
+from ..functions.jsonv import JType, get_double, get_string, json_type, python_str, with_parsed_json
 from ..schemas import ITEM_FIELDS, RECEIPT_FIELDS, TRANSACTION_FIELDS
 
 _STORE_RE = r"\ASTORE_0*([1-9]|10)\z"
@@ -87,13 +87,128 @@ def _item_info(x: Column, i: Column) -> Column:
                     .otherwise(errors).alias("errors"), typed.alias("item"))
 
 
+# Type-name patterns of a message that has exactly the contract's shape; such
+# messages take the fast path (one typed parse, no per-field type logic).
+_NUM_T = r"(?:BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+_INT_T = ("BIGINT", "INT", "SMALLINT", "TINYINT")
+_LINE_SHAPE = (r"OBJECT<item_id: STRING, name: STRING, price_per_unit: %s, quantity: %s, total_price: %s>"
+               % (_NUM_T, _NUM_T, _NUM_T))
+_RECEIPT_SHAPE_IN = (r"OBJECT<date: STRING, payment_method: STRING, receipt_id: STRING, total_amount: %s, "
+                     r"transaction_id: STRING>" % _NUM_T)
+_MESSAGE_SHAPE = (r"\AOBJECT<cashier_id: STRING, customer_id: STRING, items: ARRAY<(?:VOID|%s)>, "
+                  r"loyalty_points_earned: (?:BIGINT|INT|SMALLINT|TINYINT), payment_method: STRING, "
+                  r"payment_status: STRING, receipt: %s, store_id: STRING, timestamp: STRING, "
+                  r"total_amount: %s, transaction_id: STRING>\z" % (_LINE_SHAPE, _RECEIPT_SHAPE_IN, _NUM_T))
+_SCALARS = ("transaction_id", "timestamp", "store_id", "cashier_id", "total_amount", "payment_method",
+            "payment_status", "customer_id", "loyalty_points_earned")
+_TYPED = ("struct<transaction_id string, timestamp string, store_id string, cashier_id string, "
+          "items array<struct<item_id string, name string, quantity double, price_per_unit double, "
+          "total_price double>>, total_amount double, payment_method string, payment_status string, "
+          "customer_id string, loyalty_points_earned bigint, receipt struct<receipt_id string, date string, "
+          "total_amount double, payment_method string, transaction_id string>>")
+
+
+def _rule_message(store: Column, cashier: Column, total: Column, method: Column, status: Column,
+                  method_text: Column, status_text: Column) -> Column:
+    """First failing transaction rule on well-typed values (NULL: all pass)."""
+    return (F.when(~F.coalesce(store.rlike(_STORE_RE), F.lit(False)), F.lit(C.MSG_STORE))
+            .when(~F.coalesce(cashier.rlike(_CASHIER_RE), F.lit(False)), F.lit(C.MSG_CASHIER))
+            .when(total <= 0, F.lit(C.MSG_TOTAL))
+            .when(~F.coalesce(method.isin(*C.PAYMENT_METHODS), F.lit(False)),
+                  F.concat(F.lit(C.MSG_METHOD), method_text))
+            .when(~F.coalesce(status.isin(*C.PAYMENT_STATUSES), F.lit(False)),
+                  F.concat(F.lit(C.MSG_STATUS), status_text)))
+
+
+def _typed_item_error(x: Column, i: Column) -> Column:
+    rule = (F.when(x["quantity"] <= 0, F.lit(C.MSG_QUANTITY)).when(x["price_per_unit"] <= 0, F.lit(C.MSG_PRICE))
+            .when(x["total_price"] <= 0, F.lit(C.MSG_LINE_TOTAL)))
+    return F.when(rule.isNotNull(), _value_error(i.cast("string"), rule)) \
+        .when(~_integral(x["quantity"]), _field_error("quantity", C.MSG_INT_FRACTION))
+
+
+def _typed_items(items: Column) -> Column:
+    return F.transform(items, lambda x: F.struct(
+        x["item_id"].alias("item_id"), x["name"].alias("name"), x["quantity"].cast("int").alias("quantity"),
+        x["price_per_unit"].alias("price_per_unit"), x["total_price"].alias("total_price")))
+
+
 def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Attach ``outcome``, ``errors`` and ``txn`` to each raw message."""
-    v, is_obj = parse_json_object(F.col(value_col))
-    out = df.withColumns({"_v": v, "_is_obj": is_obj})
+    """Attach ``outcome``, ``errors`` and ``txn`` to each raw message.
+
+    Fast path: a message whose every field has the contract's JSON type (the
+    common case) is checked on one typed parse.  Slow path: everything else
+    gets the field-by-field type analysis.  Slow-path helper columns are gated
+    on ``NOT _fast`` and staged as separate projections, so each is computed
+    once, only for the rows that need it, and the generated code stays small.
+    Both paths implement the same rules and produce the same outputs.
+    """
+    out = df.withColumn("_v", F.try_parse_json(F.col(value_col)))
     vc = F.col("_v")
-    out = out.withColumns({f"_t_{f}": json_type(vc, f"$.{f}") for f in TRANSACTION_FIELDS}
-                          | {f"_rt_{f}": json_type(vc, f"$.receipt.{f}") for f in RECEIPT_FIELDS})
+    out = out.withColumns({"_s": F.schema_of_variant(vc), "_j": F.from_json(F.col(value_col), _TYPED)})
+    j = F.col("_j")
+    is_obj = (vc.isNotNull() & F.coalesce(F.col("_s").startswith("OBJECT"), F.lit(False))
+              & F.coalesce(F.col(value_col).rlike(r"\}\s*\z"), F.lit(False)))
+    # The message type string lists fields in key order and merges basket
+    # lines into one element type (a line of another type or shape makes it
+    # differ); missing line fields show up as NULLs in the typed parse.
+    lines_complete = F.forall(j["items"], lambda x: x["item_id"].isNotNull() & x["name"].isNotNull()
+                              & x["quantity"].isNotNull() & x["price_per_unit"].isNotNull()
+                              & x["total_price"].isNotNull())
+    out = out.withColumn("_is_obj", is_obj)
+    out = out.withColumn("_fast", F.col("_is_obj")
+                         & F.coalesce(F.col("_s").rlike(_MESSAGE_SHAPE), F.lit(False))
+                         & F.coalesce(lines_complete, F.lit(False)))
+    slow = F.col("_is_obj") & ~F.col("_fast")
+
+    # ---- fast path ---------------------------------------------------------
+    f_rule = _rule_message(j["store_id"], j["cashier_id"], j["total_amount"], j["payment_method"],
+                           j["payment_status"], j["payment_method"], j["payment_status"])
+    f_field_errors = F.concat(
+        F.when(~is_uuid_text(j["transaction_id"]), F.array(_field_error("transaction_id", C.MSG_UUID)))
+        .otherwise(F.array().cast("array<string>")),
+        F.filter(F.transform(j["items"], _typed_item_error), lambda e: e.isNotNull()),
+        F.when(j["receipt"]["total_amount"] <= 0, F.array(_value_error("receipt", C.MSG_TOTAL)))
+        .otherwise(F.array().cast("array<string>")),
+    )
+    out = out.withColumns({"_f_rule": F.when(F.col("_fast"), f_rule),
+                           "_f_field_errors": F.when(F.col("_fast"), f_field_errors)})
+    f_outcome = F.when(F.col("_f_rule").isNotNull(), F.lit(C.OUTCOME_REJECTED)) \
+        .when(F.size("_f_field_errors") > 0, F.lit(C.OUTCOME_REJECTED)).otherwise(F.lit("accepted"))
+    f_errors = F.when(F.col("_f_rule").isNotNull(), F.array(_value_error("body", F.col("_f_rule")))) \
+        .otherwise(F.col("_f_field_errors"))
+    f_txn = F.struct(
+        canonical_uuid(j["transaction_id"]).alias("transaction_id"),
+        j["timestamp"].alias("timestamp"), j["store_id"].alias("store_id"), j["cashier_id"].alias("cashier_id"),
+        _typed_items(j["items"]).alias("items"), j["total_amount"].alias("total_amount"),
+        j["payment_method"].alias("payment_method"), j["payment_status"].alias("payment_status"),
+        j["customer_id"].alias("customer_id"), j["loyalty_points_earned"].cast("int").alias("loyalty_points_earned"),
+        j["receipt"].alias("receipt"))
+
+    # ---- slow path -----------------------------------------------------------
+    for stage in _slow_stages(vc):
+        out = out.withColumns({name: F.when(slow, expr) for name, expr in stage.items()})
+
+    is_fast = F.col("_fast")
+    outcome = (F.when(~F.col("_is_obj"), F.lit(C.OUTCOME_MALFORMED))
+               .when(is_fast, f_outcome).otherwise(F.col("_s_outcome")))
+    errors = (F.when(~F.col("_is_obj"), F.array().cast("array<string>"))
+              .when(is_fast, f_errors).otherwise(F.col("_s_errors")))
+    out = out.withColumns({"outcome": outcome, "errors": errors})
+    txn = F.when(F.col("outcome") != "accepted", F.lit(None)).when(is_fast, f_txn).otherwise(F.col("_s_txn"))
+    out = out.withColumn("txn", txn)
+    helpers = [c for c in out.columns if c.startswith("_")]
+    return out.drop(*helpers)
+
+
+def _slow_stages(vc: Column) -> list[dict[str, Column]]:
+    """Field-by-field analysis for messages without the contract's shape.
+
+    Returned as ordered stages of named columns; later stages refer to the
+    earlier ones by name.
+    """
+    types = {f"_t_{f}": json_type(vc, f"$.{f}") for f in TRANSACTION_FIELDS}
+    types |= {f"_rt_{f}": json_type(vc, f"$.receipt.{f}") for f in RECEIPT_FIELDS}
     t = {f: JType(F.col(f"_t_{f}")) for f in TRANSACTION_FIELDS}
     rt = {f: JType(F.col(f"_rt_{f}")) for f in RECEIPT_FIELDS}
 
@@ -103,7 +218,7 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
     method = get_string(vc, "$.payment_method")
     status = get_string(vc, "$.payment_status")
 
-    # Stage 1: transaction rules, first event wins (crash or failure).
+    # Transaction rules, first event wins (crash or failure).
     def step(kind: str, detail: Column | str) -> Column:
         d = F.lit(detail) if isinstance(detail, str) else detail
         return F.struct(F.lit(kind).alias("kind"), d.alias("detail"))
@@ -122,17 +237,13 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(~status_ok, step("fail", F.concat(F.lit(C.MSG_STATUS),
                                                  python_str(vc, "$.payment_status", t["payment_status"])))),
     )
+    items_info = F.transform(F.try_variant_get(vc, "$.items", "array<variant>"), _item_info)
 
-    # Stage 2: field validation.
-    items_var = F.when(t["items"].is_arr, F.try_variant_get(vc, "$.items", "array<variant>"))
-    out = out.withColumns({"_first_rule": first_rule,
-                           "_items": F.transform(items_var, _item_info)})
-    items = F.col("_items")
+    # Field validation.
+    items = F.col("_s_items")
     items_crash = F.coalesce(F.exists(items, lambda s: s["crash"]), F.lit(False))
-    receipt_present = ~t["receipt"].missing
-    receipt_crash = receipt_present & (~t["receipt"].is_obj | ~rt["total_amount"].is_num)
+    receipt_crash = ~t["receipt"].missing & (~t["receipt"].is_obj | ~rt["total_amount"].is_num)
     receipt_total = get_double(vc, "$.receipt.total_amount")
-
     tid = get_string(vc, "$.transaction_id")
     tid_errors = F.when(t["transaction_id"].missing, F.array(_field_error("transaction_id", C.MSG_REQUIRED))) \
         .when(~t["transaction_id"].is_str, F.array(_field_error("transaction_id", C.MSG_UUID_TYPE))) \
@@ -161,30 +272,21 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
                             _number_field_errors(rt["total_amount"], "total_amount"),
                             _string_field_errors(rt["payment_method"], "payment_method"),
                             _string_field_errors(rt["transaction_id"], "transaction_id"))))
-    field_errors = F.concat(
-        tid_errors,
-        _string_field_errors(t["timestamp"], "timestamp"),
-        items_errors,
-        _string_field_errors(t["customer_id"], "customer_id"),
-        loyalty_errors,
-        receipt_errors,
-    )
+    field_errors = F.concat(tid_errors, _string_field_errors(t["timestamp"], "timestamp"), items_errors,
+                            _string_field_errors(t["customer_id"], "customer_id"), loyalty_errors, receipt_errors)
+    fr = F.col("_s_fr")
     field_crash = F.when(items_crash, F.lit("items")).when(receipt_crash, F.lit("receipt"))
+    crash_field = F.when(fr["kind"] == "crash", fr["detail"]).otherwise(F.when(fr.isNull(), field_crash))
 
-    fr = F.col("_first_rule")
-    crash_field = F.when(fr["kind"] == "crash", fr["detail"]).otherwise(
-        F.when(fr.isNull(), field_crash))
-    outcome = (F.when(~F.col("_is_obj"), F.lit(C.OUTCOME_MALFORMED))
-               .when(crash_field.isNotNull(), F.lit(C.OUTCOME_SERVER_ERROR))
+    # Outcome, errors, typed record.
+    crash = F.col("_s_crash")
+    outcome = (F.when(crash.isNotNull(), F.lit(C.OUTCOME_SERVER_ERROR))
                .when(fr.isNotNull(), F.lit(C.OUTCOME_REJECTED))
-               .when(F.size(field_errors) > 0, F.lit(C.OUTCOME_REJECTED))
+               .when(F.size("_s_field_errors") > 0, F.lit(C.OUTCOME_REJECTED))
                .otherwise(F.lit("accepted")))
-    errors = (F.when(~F.col("_is_obj"), F.array().cast("array<string>"))
-              .when(crash_field.isNotNull(),
-                    F.array(F.concat(F.lit(C.REASON_MISSING_OR_WRONG_TYPE), crash_field)))
+    errors = (F.when(crash.isNotNull(), F.array(F.concat(F.lit(C.REASON_MISSING_OR_WRONG_TYPE), crash)))
               .when(fr.isNotNull(), F.array(_value_error("body", fr["detail"])))
-              .otherwise(field_errors))
-
+              .otherwise(F.col("_s_field_errors")))
     loyalty = F.when(jl.is_str, F.trim(loyalty_text).cast("bigint")).otherwise(loyalty_num.cast("bigint"))
     txn = F.struct(
         canonical_uuid(tid).alias("transaction_id"),
@@ -203,13 +305,12 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
                  get_string(vc, "$.receipt.payment_method").alias("payment_method"),
                  get_string(vc, "$.receipt.transaction_id").alias("transaction_id")).alias("receipt"),
     )
-    out = out.withColumn("outcome", outcome)
-    out = out.withColumns({
-        "errors": errors,
-        "txn": F.when(F.col("outcome") == "accepted", txn),
-    })
-    helpers = [c for c in out.columns if c.startswith("_")]
-    return out.drop(*helpers)
+    return [
+        types,
+        {"_s_fr": first_rule, "_s_items": items_info},
+        {"_s_crash": crash_field, "_s_field_errors": field_errors},
+        {"_s_outcome": outcome, "_s_errors": errors, "_s_txn": txn},
+    ]
 
 
 def validation_response(df: DataFrame) -> DataFrame:
@@ -236,3 +337,39 @@ def validate_aggregates(df: DataFrame) -> DataFrame:
         "errors": F.when(ok, F.array().cast("array<string>"))
                    .otherwise(F.array(_value_error("body", C.MSG_TOTAL))),
     })
+
+
+def rule_flags(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Each named rule evaluated on its own (no short-circuit), as booleans.
+
+    A rule whose input is absent or of the wrong type evaluates to false.  An
+    empty basket satisfies the line rules.
+    """
+    vc = F.col("_v")
+    out = with_parsed_json(df, value_col)
+    t = {f: JType(json_type(vc, f"$.{f}")) for f in TRANSACTION_FIELDS}
+
+    def ok(c: Column) -> Column:
+        return F.coalesce(c, F.lit(False)) & F.col("_is_obj")
+
+    def line_ok(x: Column) -> Column:
+        return F.coalesce((get_double(x, "$.quantity") > 0) & (get_double(x, "$.price_per_unit") > 0)
+                          & (get_double(x, "$.total_price") > 0)
+                          & JType(json_type(x, "$.quantity")).is_num
+                          & JType(json_type(x, "$.price_per_unit")).is_num
+                          & JType(json_type(x, "$.total_price")).is_num, F.lit(False))
+
+    items = F.try_variant_get(vc, "$.items", "array<variant>")
+    out = out.withColumns({
+        "store_ok": ok(t["store_id"].is_str & get_string(vc, "$.store_id").rlike(_STORE_RE)),
+        "cashier_ok": ok(t["cashier_id"].is_str & get_string(vc, "$.cashier_id").rlike(_CASHIER_RE)),
+        "total_ok": ok(t["total_amount"].is_num & (get_double(vc, "$.total_amount") > 0)),
+        "method_ok": ok(t["payment_method"].is_str
+                        & get_string(vc, "$.payment_method").isin(*C.PAYMENT_METHODS)),
+        "status_ok": ok(t["payment_status"].is_str
+                        & get_string(vc, "$.payment_status").isin(*C.PAYMENT_STATUSES)),
+        "items_ok": ok(t["items"].is_arr & F.forall(items, line_ok)),
+        "receipt_ok": ok(JType(json_type(vc, "$.receipt.total_amount")).is_num
+                         & (get_double(vc, "$.receipt.total_amount") > 0)),
+    })
+    return out.drop("_v", "_is_obj")

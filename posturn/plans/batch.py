@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.timefmt import parse_event_time
+from ..sinks.tables import materialize
 from ..operators.correct import correct_totals, payment_gate
 from ..operators.route import aggregate_envelopes, route_to_stores, transaction_envelopes
 from ..operators.turnover import format_aggregated_event, turnover
@@ -29,14 +30,23 @@ def validate_stage(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return payment_gate(correct_totals(v))
 
 
+def materialize_validated(spark, validated: DataFrame, name: str = "validated") -> DataFrame:
+    """Write the validated rows once, partitioned by ``outcome``, and read them back.
+
+    Consumers of one outcome read one partition directory; the validation
+    expressions are evaluated exactly once per message.
+    """
+    return materialize(spark, validated, name, partition_by=("outcome",))
+
+
 def published(validated: DataFrame) -> DataFrame:
     return validated.where(F.col("outcome") == C.OUTCOME_PUBLISHED)
 
 
-def rejects(validated: DataFrame, value_col: str = "value") -> DataFrame:
-    """Quarantine rows: raw text, outcome and errors."""
+def rejects(validated: DataFrame, value_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Quarantine rows: raw text, outcome and errors (plus ``keep`` columns)."""
     bad = F.col("outcome").isin(C.OUTCOME_MALFORMED, C.OUTCOME_SERVER_ERROR, C.OUTCOME_REJECTED)
-    return validated.where(bad).select(value_col, F.col("outcome").alias("reject_stage"), "errors")
+    return validated.where(bad).select(*keep, value_col, F.col("outcome").alias("reject_stage"), "errors")
 
 
 def sales_from_published(pub: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -42,6 +43,9 @@ def build_session(master: str | None = None, app_name: str = "posturn",
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **REQUIRED_CONF}.items():
         builder = builder.config(key, value)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the only executor.
+        builder = builder.config("spark.driver.memory", os.environ.get("POSTURN_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

@@ -154,6 +154,7 @@ NOISE_RULES = (
     ("loyalty_as_text", 157, 13),
     ("uuid_simple_upper", 163, 14),
     ("uuid_invalid", 167, 15),
+    ("padded_store_id", 191, 18),
 )
 
 
@@ -195,6 +196,7 @@ def noisy_transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "uuid_simple_upper", F.regexp_replace(v, r'^\{"transaction_id":"00000000-0000-0000-0000-',
                                                             '{"transaction_id":"0000000000000000ABCD'))
         .when(kind == "uuid_invalid", F.regexp_replace(v, r'^\{"transaction_id":"[^"]*"', '{"transaction_id":"not-a-uuid"'))
+        .when(kind == "padded_store_id", F.regexp_replace(v, r'"store_id":"STORE_([0-9]+)"', '"store_id":"STORE_0$1"'))
         .otherwise(v)
     )
     return feed.select("o_orderkey", kind.alias("noise"), damaged.alias("value"))
