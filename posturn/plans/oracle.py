@@ -299,3 +299,7 @@ SELECT event_type,
        CAST(round(sum(CAST(lag_seconds AS DECIMAL(18,6))), 6) AS DOUBLE) AS sum_seconds
 FROM lagged GROUP BY event_type""",
 }
+
+ORACLE["stream_validate"] = with_(FIXTURE, NOISY) + "SELECT o_orderkey, outcome, errors_text FROM nx"
+ORACLE["stream_turnover"] = ORACLE["turnover_10s"]
+ORACLE["stream_strict_late"] = ORACLE["late_split"]

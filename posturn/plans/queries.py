@@ -253,3 +253,9 @@ QUERIES: dict[str, Query] = {
     "outcome_counts": q_outcome_counts,
     "lag_histogram": q_lag_histogram,
 }
+
+
+def all_queries() -> dict[str, Query]:
+    """Batch queries plus the stream runners (imported lazily: they need pandas/pyarrow)."""
+    from .stream_queries import STREAM_QUERIES
+    return {**QUERIES, **STREAM_QUERIES}
