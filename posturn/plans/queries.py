@@ -226,6 +226,34 @@ def q_lag_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return lag_histogram(lagged, by=("event_type",))
 
 
+# --- extension points -------------------------------------------------------------
+def q_generic_fold(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators.fold import (TURNOVER_ACC, tumbling_fold, turnover_builder, turnover_folder,
+                                  turnover_merger)
+    s = sales_events(spark, sf).withColumn("event_time_us", F.unix_micros("event_time"))
+    folded = tumbling_fold(s, "store_id", "event_time", ["event_time_us", "total_amount"],
+                           turnover_builder, turnover_folder, turnover_merger, TURNOVER_ACC)
+    return folded.select(
+        "store_id", iso_utc(F.col("window_start")).alias("window_start"),
+        iso_utc(F.col("window_end")).alias("window_end"),
+        (F.col("total_cents") / 100).cast("double").alias("total_amount"), "n_events",
+        iso_utc(F.timestamp_micros("min_us")).alias("begin_stream_aggregator"),
+        iso_utc(F.timestamp_micros("max_us")).alias("end_stream_aggregator"))
+
+
+def q_json_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Item catalogue (from ``part``) as JSON array documents, read back."""
+    import uuid
+
+    from ..schemas import CATALOG_ITEM
+    from ..session import scratch_path
+    from ..sources.lookups import read_json_documents, write_json_documents
+    path = scratch_path(spark, "lookups", f"catalog-{uuid.uuid4().hex}")
+    part = read_table(spark, sf, "part", ["p_name", "p_retailprice"])
+    write_json_documents(part.select(F.col("p_name").alias("name"), F.col("p_retailprice").alias("price")), path)
+    return read_json_documents(spark, path, CATALOG_ITEM)
+
+
 QUERIES: dict[str, Query] = {
     "turnover_10s": q_turnover_10s,
     "turnover_1h": q_turnover_1h,
@@ -252,6 +280,8 @@ QUERIES: dict[str, Query] = {
     "bad_event_time": q_bad_event_time,
     "outcome_counts": q_outcome_counts,
     "lag_histogram": q_lag_histogram,
+    "generic_fold": q_generic_fold,
+    "json_lookup": q_json_lookup,
 }
 
 
