@@ -84,7 +84,12 @@ def transaction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
                          "o_orderpriority"])
     b = baskets(spark, sf_dir)
-    j = orders.join(b, orders.o_orderkey == b.l_orderkey, "left")
+    # Both sides grow with the data: hash-join on the order key.  The basket
+    # side is already hash-partitioned by its aggregation, so only ``orders``
+    # is exchanged, and the CPU-heavy message building and validation after
+    # the join run with full parallelism (a broadcast would leave them on the
+    # scan partitions of ``orders``).
+    j = orders.join(b.hint("shuffle_hash"), orders.o_orderkey == b.l_orderkey, "left")
     k = F.col("o_orderkey")
     lines = F.coalesce(F.col("lines"), F.array().cast(b.schema["lines"].dataType))
     items = F.transform(lines, lambda l: F.struct(
