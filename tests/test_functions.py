@@ -70,3 +70,19 @@ def test_window_alignment_constant():
     from posturn import config as C
     assert C.window_offset_micros(10, C.WINDOW_ALIGN_TO) == 0
     assert C.window_offset_micros(10, datetime(2024, 11, 15, 0, 0, 3, 500000, tzinfo=timezone.utc)) == 3_500_000
+
+
+def test_string_list_document(spark, tmp_path):
+    from posturn.sources.lookups import read_string_list
+    p = tmp_path / "methods"
+    p.mkdir()
+    (p / "doc.json").write_text('[\n  "credit_card",\n  "cash",\n  "debit_card",\n  "voucher"\n]\n')
+    got = [r.value for r in read_string_list(spark, str(p)).collect()]
+    assert got == ["credit_card", "cash", "debit_card", "voucher"]
+
+
+def test_progress_observation(spark):
+    from posturn.operators.metrics import observe_progress
+    df, obs = observe_progress(spark.range(1234))
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get["rows"] == 1234
