@@ -30,13 +30,18 @@ def validate_stage(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return payment_gate(correct_totals(v))
 
 
-def materialize_validated(spark, validated: DataFrame, name: str = "validated") -> DataFrame:
+def materialize_validated(spark, validated: DataFrame, name: str = "validated",
+                          value_col: str = "value") -> DataFrame:
     """Write the validated rows once, partitioned by ``outcome``, and read them back.
 
     Consumers of one outcome read one partition directory; the validation
-    expressions are evaluated exactly once per message.
+    expressions are evaluated exactly once per message.  The raw text is kept
+    only for refused rows (the quarantine needs it); accepted rows carry the
+    typed record, from which every envelope is rebuilt.
     """
-    return materialize(spark, validated, name, partition_by=("outcome",))
+    refused = F.col("outcome").isin(C.OUTCOME_MALFORMED, C.OUTCOME_SERVER_ERROR, C.OUTCOME_REJECTED)
+    slim = validated.withColumn(value_col, F.when(refused, F.col(value_col)))
+    return materialize(spark, slim, name, partition_by=("outcome",))
 
 
 def published(validated: DataFrame) -> DataFrame:
