@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.ids import canonical_uuid, is_uuid_text
 from ..functions.jsonv import JType, get_double, get_string, json_type, python_str, with_parsed_json
-from ..schemas import ITEM_FIELDS, RECEIPT_FIELDS, TRANSACTION_FIELDS
+from ..schemas import RECEIPT_FIELDS, TRANSACTION_FIELDS
 
 _STORE_RE = r"\ASTORE_0*([1-9]|10)\z"
 _CASHIER_RE = r"\ACASHIER_0*[1-8]\z"
@@ -90,7 +90,6 @@ def _item_info(x: Column, i: Column) -> Column:
 # Type-name patterns of a message that has exactly the contract's shape; such
 # messages take the fast path (one typed parse, no per-field type logic).
 _NUM_T = r"(?:BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
-_INT_T = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 _LINE_SHAPE = (r"OBJECT<item_id: STRING, name: STRING, price_per_unit: %s, quantity: %s, total_price: %s>"
                % (_NUM_T, _NUM_T, _NUM_T))
 _RECEIPT_SHAPE_IN = (r"OBJECT<date: STRING, payment_method: STRING, receipt_id: STRING, total_amount: %s, "
@@ -99,8 +98,6 @@ _MESSAGE_SHAPE = (r"\AOBJECT<cashier_id: STRING, customer_id: STRING, items: ARR
                   r"loyalty_points_earned: (?:BIGINT|INT|SMALLINT|TINYINT), payment_method: STRING, "
                   r"payment_status: STRING, receipt: %s, store_id: STRING, timestamp: STRING, "
                   r"total_amount: %s, transaction_id: STRING>\z" % (_LINE_SHAPE, _RECEIPT_SHAPE_IN, _NUM_T))
-_SCALARS = ("transaction_id", "timestamp", "store_id", "cashier_id", "total_amount", "payment_method",
-            "payment_status", "customer_id", "loyalty_points_earned")
 _TYPED = ("struct<transaction_id string, timestamp string, store_id string, cashier_id string, "
           "items array<struct<item_id string, name string, quantity double, price_per_unit double, "
           "total_price double>>, total_amount double, payment_method string, payment_status string, "

@@ -19,8 +19,7 @@ from ..functions.timefmt import iso_utc, parse_event_time
 from ..operators.correct import basket_sum
 from ..operators.lateness import on_time, tag_late
 from ..operators.metrics import lag_histogram, outcome_counts
-from ..operators.route import (aggregate_envelopes, parse_topic, route_to_stores, subscribe,
-                               transaction_envelopes)
+from ..operators.route import aggregate_envelopes, parse_topic, subscribe, transaction_envelopes
 from ..operators.turnover import format_aggregated_event, merge_turnover, turnover
 from ..operators.validate import rule_flags, validate_aggregates
 from ..sources.fixtures import noisy_transaction_feed, sales_events, transaction_feed

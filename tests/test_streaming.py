@@ -56,3 +56,12 @@ def test_kafka_options():
     assert o["subscribePattern"] == r"sale/pos/transaction/receipt/[^/]+(?:/[^/]+)*"
     assert o["maxOffsetsPerTrigger"] == "1000"
     assert kafka_options("b", topics=("a", "b"))["subscribe"] == "a,b"
+
+
+def test_kafka_sink_writer_is_declared(spark):
+    from posturn.sinks.envelopes import kafka_sink_options, stream_envelopes_kafka
+    df = spark.readStream.format("rate").load().selectExpr(
+        "'t/a' AS topic", "CAST(value AS STRING) AS key", "'{}' AS value",
+        "array(named_struct('key', 'application', 'value', CAST('json' AS BINARY))) AS headers")
+    w = stream_envelopes_kafka(df, kafka_sink_options("broker:9092"), "/tmp/unused-ckpt")
+    assert w is not None   # starting it needs the connector, which plain PySpark lacks
