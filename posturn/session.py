@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +33,7 @@ DEFAULT_CONF = {
 
 
 _LOCAL_ROOT: tuple[str, str] | None = None
+_SHIPPED: set[str] = set()
 
 
 def build_session(master: str | None = None, app_name: str = "posturn",
@@ -59,9 +61,37 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the required runtime settings to an existing session."""
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``posturn`` importable in the Python workers, once per application.
+
+    Pandas UDFs (``mapInPandas``, ``applyInPandasWithState``) pickle functions
+    by module reference, so the executors need the package.  When it was not
+    already shipped with ``--py-files`` (i.e. it is imported from a source
+    tree), it is zipped on the driver and added with ``addPyFile``; Spark
+    then distributes it to every executor, including ones started later.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(pkg_dir):
+        staging = tempfile.mkdtemp(prefix="posturn-pyfiles-")
+        archive = os.path.join(staging, "posturn.zip")
+        base = os.path.dirname(pkg_dir)
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _dirs, files in os.walk(pkg_dir):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, base))
+        sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
