@@ -23,22 +23,23 @@ def money_sum(amount: Column) -> Column:
     return F.sum(cents(amount)).cast("double")
 
 
-def py_float_text(x: Column, max_decimals: int = 17) -> Column:
+def py_float_text(x: Column) -> Column:
     """DOUBLE -> the text Python's ``str(float)`` prints for it.
 
-    Python prints the shortest decimal that reads back as the same double, in
-    positional notation for 1e-4 <= |x| < 1e16.  For a fixed magnitude the
-    shortest such decimal is the one with the fewest fraction digits, so the
-    text is the first ``round(x, d)``, d = 0, 1, ..., that converts back to
-    ``x`` exactly (one DECIMAL cast per step, all JVM-side).  ``.0`` is kept
-    for whole numbers.  Outside that range Spark's own text is returned.
+    Spark's DOUBLE -> STRING cast already prints the shortest digits that read
+    back as the same double, like Python; the two differ only in notation.
+    Python is positional for 1e-4 <= |x| < 1e16, Spark switches to
+    ``d.dddE<n>`` from 1e7 up and below 1e-3.  In that band the scientific
+    text is rewritten to positional form by moving the decimal point, a
+    fixed-size string expression.  Outside it, Spark's text is returned.
     """
-    text = None
-    for d in range(max_decimals + 1):
-        cand = x.cast(f"decimal(38,{d})")
-        shown = F.concat(cand.cast("string"), F.lit(".0")) if d == 0 else cand.cast("string")
-        hit = cand.cast("double") == x
-        text = F.when(hit, shown) if text is None else text.when(hit, shown)
-    positional = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16)
-    return F.when(x.isNull(), F.lit(None).cast("string")).when(x == 0, F.lit("0.0")) \
-        .when(positional, text.otherwise(x.cast("string"))).otherwise(x.cast("string"))
+    s = x.cast("string")
+    sci = r"\A(-?)([0-9])\.([0-9]+)E(-?[0-9]+)\z"
+    sign, digits = F.regexp_extract(s, sci, 1), F.concat(F.regexp_extract(s, sci, 2), F.regexp_extract(s, sci, 3))
+    exp = F.regexp_extract(s, sci, 4).cast("int")
+    whole = exp + 1
+    big = F.when(F.length(digits) <= whole, F.concat(F.rpad(digits, whole, "0"), F.lit(".0"))) \
+        .otherwise(F.concat(digits.substr(F.lit(1), whole), F.lit("."), digits.substr(whole + 1, F.lit(64))))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), F.regexp_replace(digits, "0+\\z", ""))
+    positional = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16) & s.contains("E")
+    return F.when(positional, F.concat(sign, F.when(exp >= 0, big).otherwise(small))).otherwise(s)

@@ -75,10 +75,13 @@ def turnover_stage(sales: DataFrame, length_seconds: float = C.WINDOW_LENGTH_SEC
 
 
 def publish_aggregates_stage(aggregated: DataFrame) -> DataFrame:
-    """Stage C: validated aggregates -> routed envelopes (accepted ones only)."""
+    """Stage C: validated aggregates -> routed envelopes (accepted ones only).
+
+    ``aggregated`` comes from ``turnover_stage``, so every event id is set.
+    """
     checked = validate_aggregates(aggregated)
     ok = checked.where(F.col("status") == C.STATUS_SUCCESS)
-    return route_to_stores(aggregate_envelopes(ok))
+    return route_to_stores(aggregate_envelopes(ok, require_key=False))
 
 
 def publish_transactions_stage(validated: DataFrame) -> DataFrame:

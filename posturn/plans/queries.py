@@ -167,12 +167,12 @@ def q_txn_envelope(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_agg_envelope(spark: SparkSession, sf: str) -> DataFrame:
     agg = format_aggregated_event(turnover(sales_events(spark, sf)))
-    return _envelope_columns(aggregate_envelopes(agg), "event_id")
+    return _envelope_columns(aggregate_envelopes(agg, require_key=False), "event_id")
 
 
 def q_topic_filter(spark: SparkSession, sf: str) -> DataFrame:
     txn_env = transaction_envelopes(batch.published(_validated(spark, sf)))
-    agg_env = aggregate_envelopes(format_aggregated_event(turnover(sales_events(spark, sf))))
+    agg_env = aggregate_envelopes(format_aggregated_event(turnover(sales_events(spark, sf))), require_key=False)
     both = txn_env.select("topic", "key").unionByName(agg_env.select("topic", "key"))
     return subscribe(both, *FILTER_SUBSCRIPTIONS)
 
