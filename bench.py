@@ -78,6 +78,8 @@ def main() -> None:
     timed("lag_histogram", lambda: noop(Q.q_lag_histogram(spark, sf_dir)))
     timed("generic_fold", lambda: noop(Q.q_generic_fold(spark, sf_dir)))
     timed("stream_turnover", lambda: noop(SQ.q_stream_turnover(spark, sf_dir)))
+    timed("stream_strict_late", lambda: noop(SQ.q_stream_strict_late(spark, sf_dir)))
+    timed("stream_strict_late_scan", lambda: noop(SQ.q_stream_strict_late_scan(spark, sf_dir)))
 
     total = round(sum(times.values()), 3)
     out = {

@@ -34,8 +34,14 @@ DEFAULT_CHUNK_SPAN = 1 << 20
 
 def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
              arrival_col: str = "arrival_key", tie_col: str = "event_id",
-             lateness_ms: int = C.ALLOWED_LATENESS_MS, chunk_span: int = DEFAULT_CHUNK_SPAN) -> DataFrame:
-    """Add ``clock`` (max earlier event time of the key) and ``late`` (BOOLEAN)."""
+             lateness_ms: int = C.ALLOWED_LATENESS_MS, chunk_span: int = DEFAULT_CHUNK_SPAN,
+             initial_clock: DataFrame | None = None) -> DataFrame:
+    """Add ``clock`` (max earlier event time of the key) and ``late`` (BOOLEAN).
+
+    ``initial_clock`` (columns ``key``, ``clock``) seeds each key's clock with
+    what came before ``df`` -- the carry of earlier micro-batches.  It is
+    joined to the chunk table, never to the rows.
+    """
     chunk = F.floor(F.col(arrival_col) / F.lit(chunk_span)).cast("bigint")
     d = df.withColumn("_chunk", chunk)
     per_chunk = d.groupBy(key, "_chunk").agg(F.max(time_col).alias("_chunk_max"))
@@ -43,6 +49,10 @@ def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
         key, "_chunk",
         F.max("_chunk_max").over(Window.partitionBy(key).orderBy("_chunk")
                                  .rowsBetween(Window.unboundedPreceding, -1)).alias("_before_chunk"))
+    if initial_clock is not None:
+        seed = initial_clock.select(key, F.col("clock").alias("_seed"))
+        before = before.join(seed, key, "left").select(
+            key, "_chunk", F.greatest("_before_chunk", "_seed").alias("_before_chunk"))
     inner = Window.partitionBy(key, "_chunk").orderBy(arrival_col, tie_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
     tagged = (d.join(before, [key, "_chunk"], "left")

@@ -10,10 +10,19 @@ in arrival order first (batch order after the exchange is not promised).
 State is O(1) per key.  The rows of one store in one micro-batch are handled
 by one task, so a hot store costs at most one trigger's worth of its rows;
 ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger`` bound that.
+
+:func:`strict_late_scan_writer` gives the same tags without that limit: each
+micro-batch is tagged JVM-side by the batch prefix scan
+(:func:`~posturn.operators.lateness.tag_late`, chunked, so a store's rows
+spread over many tasks), seeded with every store's clock carried over from
+the previous batch.  The carry is a table with one row per store, written per
+batch id, so a replayed batch reads the same carry and rewrites the same
+output.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
+from ..operators.lateness import tag_late
 
 TAG_SCHEMA = ("store_id string, event_id long, event_time_us long, total_amount double, "
               "arrival_key long, late boolean")
@@ -68,3 +78,41 @@ def strict_on_time(sales: DataFrame, lateness_ms: int = C.ALLOWED_LATENESS_MS) -
     tagged = strict_late_tags(sales, lateness_ms)
     kept = tagged.where(~F.col("late")).withColumn("event_time", F.timestamp_micros("event_time_us"))
     return kept.withWatermark("event_time", f"{int(lateness_ms)} milliseconds")
+
+
+def _epoch_dir(root: str, name: str, epoch_id: int) -> str:
+    return os.path.join(root, name, f"batch_id={epoch_id}")
+
+
+def strict_late_scan_writer(out_root: str, lateness_ms: int = C.ALLOWED_LATENESS_MS, key: str = "store_id",
+                            time_col: str = "event_time", arrival_col: str = "arrival_key",
+                            tie_col: str = "event_id"):
+    """``foreachBatch`` body: strict per-key lateness by a parallel scan.
+
+    Writes ``tagged/batch_id=<n>`` (the batch rows with ``clock`` and
+    ``late``) and ``clocks/batch_id=<n>`` (per key, the largest event time
+    seen up to and including batch n).  Batch n reads the clocks of batch
+    n-1; streaming batch ids are consecutive, and every batch, empty ones
+    included, writes its clocks.
+    """
+    def write(batch_df: DataFrame, epoch_id: int) -> None:
+        spark = batch_df.sparkSession
+        carry = spark.read.parquet(_epoch_dir(out_root, "clocks", epoch_id - 1)) if epoch_id > 0 else None
+        tagged = tag_late(batch_df, key=key, time_col=time_col, arrival_col=arrival_col, tie_col=tie_col,
+                          lateness_ms=lateness_ms, initial_clock=carry)
+        target = _epoch_dir(out_root, "tagged", epoch_id)
+        tagged.write.mode("overwrite").parquet(target)
+        seen = spark.read.parquet(target).groupBy(key).agg(F.max(time_col).alias("clock"))
+        if carry is not None:
+            seen = carry.unionByName(seen).groupBy(key).agg(F.max("clock").alias("clock"))
+        seen.write.mode("overwrite").parquet(_epoch_dir(out_root, "clocks", epoch_id))
+    return write
+
+
+def start_strict_late_scan(sales: DataFrame, out_root: str, checkpoint: str, available_now: bool = True,
+                           lateness_ms: int = C.ALLOWED_LATENESS_MS):
+    """Run :func:`strict_late_scan_writer` over a streaming sales DataFrame."""
+    w = sales.writeStream.foreachBatch(strict_late_scan_writer(out_root, lateness_ms)) \
+        .option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    return w.start()
