@@ -71,8 +71,9 @@ def ship_package(spark: SparkSession) -> None:
     Pandas UDFs (``mapInPandas``, ``applyInPandasWithState``) pickle functions
     by module reference, so the executors need the package.  When it was not
     already shipped with ``--py-files`` (i.e. it is imported from a source
-    tree), it is zipped on the driver and added with ``addPyFile``; Spark
-    then distributes it to every executor, including ones started later.
+    tree), it is zipped into a driver-side staging file and added with
+    ``addPyFile``; Spark serves it to every executor, including ones started
+    later, so no executor reads the driver's disk.
     """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
@@ -96,13 +97,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
     Read from ``spark.checkpoint.dir``, which a cluster points at shared
-    storage.  Only when it is unset (local tests) is a private scratch folder
-    created once per application and registered with the context, so
+    storage.  Only when it is unset in local mode (tests) is a private scratch
+    folder created once per application and registered with the context, so
     ``DataFrame.checkpoint`` and streaming checkpoints land in the same place.
+    On a cluster an unset folder is an error: a driver-local folder is not
+    visible to the executors.
     """
     global _LOCAL_ROOT
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
     if not root:
         if _LOCAL_ROOT is None or _LOCAL_ROOT[0] != sc.applicationId:
             _LOCAL_ROOT = (sc.applicationId, tempfile.mkdtemp(prefix="posturn-ckpt-"))
