@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
-from ..operators.lateness import tag_late
+from ..operators.lateness import DEFAULT_CHUNK_SPAN, tag_late
 
 TAG_SCHEMA = ("store_id string, event_id long, event_time_us long, total_amount double, "
               "arrival_key long, late boolean")
@@ -86,7 +86,7 @@ def _epoch_dir(root: str, name: str, epoch_id: int) -> str:
 
 def strict_late_scan_writer(out_root: str, lateness_ms: int = C.ALLOWED_LATENESS_MS, key: str = "store_id",
                             time_col: str = "event_time", arrival_col: str = "arrival_key",
-                            tie_col: str = "event_id"):
+                            tie_col: str = "event_id", chunk_span: int = DEFAULT_CHUNK_SPAN):
     """``foreachBatch`` body: strict per-key lateness by a parallel scan.
 
     Writes ``tagged/batch_id=<n>`` (the batch rows with ``clock`` and
@@ -99,7 +99,7 @@ def strict_late_scan_writer(out_root: str, lateness_ms: int = C.ALLOWED_LATENESS
         spark = batch_df.sparkSession
         carry = spark.read.parquet(_epoch_dir(out_root, "clocks", epoch_id - 1)) if epoch_id > 0 else None
         tagged = tag_late(batch_df, key=key, time_col=time_col, arrival_col=arrival_col, tie_col=tie_col,
-                          lateness_ms=lateness_ms, initial_clock=carry)
+                          lateness_ms=lateness_ms, chunk_span=chunk_span, initial_clock=carry)
         target = _epoch_dir(out_root, "tagged", epoch_id)
         tagged.write.mode("overwrite").parquet(target)
         seen = spark.read.parquet(target).groupBy(key).agg(F.max(time_col).alias("clock"))

@@ -60,6 +60,30 @@ def test_strict_scan_carries_clock_and_replays_idempotently(spark):
     assert [(r.store_id, r.clock.second) for r in clocks] == [("STORE_1", 33)]
 
 
+def test_strict_scan_hot_store_matches_brute_force(spark):
+    """One store holds most rows; chunks split each batch; clocks carry across batches."""
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for eid in range(3000):
+        store = "STORE_1" if rnd.random() < 0.8 else f"STORE_{rnd.randint(2, 4)}"
+        rows.append((store, eid, eid * 1000 + rnd.randint(-400_000, 50_000), eid))
+    root = scratch_path(spark, "streams", "strict-scan-hot")
+    write = strict_late_scan_writer(root, lateness_ms=100, chunk_span=64)
+    for epoch in range(3):
+        part = spark.createDataFrame(rows[epoch * 1000:(epoch + 1) * 1000],
+                                     "store_id string, event_id long, t_ms long, arrival_key long")
+        write(part.select("store_id", "event_id", F.timestamp_millis("t_ms").alias("event_time"),
+                          F.lit(1.0).alias("total_amount"), "arrival_key"), epoch)
+    clock, expected = {}, {}
+    for store, eid, t_ms, _ in rows:          # rows are in arrival order
+        c = clock.get(store)
+        expected[eid] = c is not None and t_ms < c - 100
+        clock[store] = t_ms if c is None else max(c, t_ms)
+    got = {r.event_id: r.late for r in spark.read.parquet(os.path.join(root, "tagged")).collect()}
+    assert got == expected and sum(expected.values()) > 100
+
+
 def test_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "generic_fold", "turnover_10s")
 
