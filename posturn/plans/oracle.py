@@ -304,5 +304,6 @@ ORACLE["stream_validate"] = with_(FIXTURE, NOISY) + "SELECT o_orderkey, outcome,
 ORACLE["stream_turnover"] = ORACLE["turnover_10s"]
 ORACLE["stream_strict_late"] = ORACLE["late_split"]
 ORACLE["stream_strict_late_scan"] = ORACLE["late_split"]
+ORACLE["stream_chain"] = ORACLE["store_routes"]
 ORACLE["generic_fold"] = ORACLE["turnover_10s"]
 ORACLE["json_lookup"] = "SELECT p_name AS name, p_retailprice AS price FROM part"

@@ -36,6 +36,10 @@ def test_stream_validate_equals_batch(spark, duck):
     _check(spark, duck, "stream_validate", "stream_validate")
 
 
+def test_stream_chain_equals_batch_routes(spark, duck):
+    _check(spark, duck, "stream_chain", "store_routes")
+
+
 def test_stream_strict_late_scan_equals_batch(spark, duck):
     _check(spark, duck, "stream_strict_late_scan", "late_split")
 
