@@ -17,6 +17,9 @@ from pyspark.sql import SparkSession
 # Settings every result depends on (timestamps are instants in UTC).
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # A JSON object with a repeated key keeps its last value, like Python's
+    # json.loads (typed from_json already does; VARIANT parsing needs this).
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Sensible defaults; a cluster launcher may already have set them.

@@ -141,6 +141,18 @@ def test_malformed(spark, text):
     assert r.outcome == C.OUTCOME_MALFORMED
 
 
+def test_duplicate_keys_keep_last_value(spark):
+    """A repeated key keeps its last value, at top level and nested."""
+    late_good = msg(store_id="STORE_99")[:-1] + ', "store_id": "STORE_2"}'
+    late_bad = msg()[:-1] + ', "store_id": "STORE_99"}'
+    receipt = json.dumps(BASE["receipt"])[:-1] + ', "total_amount": -1.0}'
+    nested_bad = msg()[:msg().index('"receipt"')] + '"receipt": ' + receipt + "}"
+    good, bad, nbad = run(spark, [late_good, late_bad, nested_bad])
+    assert good.outcome == C.OUTCOME_PUBLISHED and good.txn.store_id == "STORE_2"
+    assert bad.outcome == C.OUTCOME_REJECTED and bad.errors == [body(C.MSG_STORE)]
+    assert nbad.outcome == C.OUTCOME_REJECTED
+
+
 def test_uuid_is_canonicalised(spark):
     (r,) = run(spark, [msg(transaction_id="3F2B8C1E9D4A4E6B8A7C2D1E0F9B8A76")])
     assert r.txn.transaction_id == "3f2b8c1e-9d4a-4e6b-8a7c-2d1e0f9b8a76"
