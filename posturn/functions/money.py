@@ -3,6 +3,8 @@
 Amounts are summed as DECIMAL(18,2): exact, independent of the order in which
 partial sums are merged across tasks, and equal to rounding the true sum to
 cents.  Results are returned as DOUBLE, the type of the message contract.
+An amount outside DECIMAL(18,2) (|x| >= 1e16) never raises: that sum falls
+back to DOUBLE arithmetic, as the service's float accumulator would do.
 """
 
 from __future__ import annotations
@@ -14,13 +16,19 @@ MONEY = "decimal(18,2)"
 
 
 def cents(amount: Column) -> Column:
-    """DOUBLE amount -> DECIMAL(18,2)."""
-    return amount.cast(MONEY)
+    """DOUBLE amount -> DECIMAL(18,2); NULL when it does not fit."""
+    return amount.try_cast(MONEY)
 
 
 def money_sum(amount: Column) -> Column:
-    """Aggregate: exact cent sum of DOUBLE amounts, as DOUBLE."""
-    return F.sum(cents(amount)).cast("double")
+    """Aggregate: exact cent sum of DOUBLE amounts, as DOUBLE.
+
+    When some amount does not fit DECIMAL(18,2) the group's DOUBLE sum is
+    returned instead; one such record never fails the job.
+    """
+    exact = F.try_sum(cents(amount))
+    misfits = F.count_if(amount.isNotNull() & cents(amount).isNull())
+    return F.when((misfits == 0) & exact.isNotNull(), exact.cast("double")).otherwise(F.sum(amount))
 
 
 def py_float_text(x: Column) -> Column:

@@ -25,10 +25,14 @@ def basket_fold(items: Column) -> Column:
 
 
 def basket_sum(items: Column) -> Column:
-    """Exact cent sum of ``items[*].total_price`` as DOUBLE."""
+    """Exact cent sum of ``items[*].total_price`` as DOUBLE.
+
+    A line total outside DECIMAL(18,2) makes the exact sum NULL; the basket
+    then takes the DOUBLE fold rounded to cents, as the service does.
+    """
     acc = F.aggregate(items, F.lit(0).cast(_CENTS_ACC),
-                      lambda a, x: (a + x["total_price"].cast("decimal(18,2)")).cast(_CENTS_ACC))
-    return acc.cast("double")
+                      lambda a, x: (a + x["total_price"].try_cast("decimal(18,2)")).try_cast(_CENTS_ACC))
+    return F.coalesce(acc.cast("double"), F.round(basket_fold(items), 2))
 
 
 def correct_totals(df: DataFrame, txn_col: str = "txn") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.ids import deterministic_uuid
-from ..functions.money import cents
+from ..functions.money import money_sum
 from ..functions.timefmt import iso_utc
 
 
@@ -38,7 +38,7 @@ def turnover(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
     """
     w = tumbling_window(F.col(time_col), length_seconds, align_to)
     return (df.groupBy(w.alias("window"), F.col(key))
-              .agg(F.sum(cents(F.col(amount_col))).cast("double").alias("total_amount"),
+              .agg(money_sum(F.col(amount_col)).alias("total_amount"),
                    F.min(time_col).alias("min_ts"),
                    F.max(time_col).alias("max_ts"),
                    F.count(F.lit(1)).alias("n_events"))
@@ -56,7 +56,7 @@ def merge_turnover(*parts: DataFrame, key: str = "store_id") -> DataFrame:
     for p in parts[1:]:
         u = u.unionByName(p)
     return (u.groupBy(key, "window_start", "window_end")
-             .agg(F.sum(cents(F.col("total_amount"))).cast("double").alias("total_amount"),
+             .agg(money_sum(F.col("total_amount")).alias("total_amount"),
                   F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"),
                   F.sum("n_events").alias("n_events")))
 

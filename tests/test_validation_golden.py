@@ -153,6 +153,21 @@ def test_duplicate_keys_keep_last_value(spark):
     assert nbad.outcome == C.OUTCOME_REJECTED
 
 
+def test_amounts_beyond_decimal_range_do_not_fail_the_job(spark):
+    """Amounts outside DECIMAL(18,2) fall back to float sums instead of raising."""
+    from posturn.plans import batch
+    huge = [{"item_id": "i1", "name": "Tea", "quantity": 2, "price_per_unit": 1e300, "total_price": 1e300}]
+    texts = [msg(), msg(total_amount=1e300), msg(items=huge), msg(total_amount=1e17)]
+    rows = run(spark, texts)
+    assert [r.outcome for r in rows] == [C.OUTCOME_PUBLISHED] * 4
+    assert [r.txn.total_amount for r in rows] == [3.49, 3.49, 1e300, 3.49]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    pub = batch.published(validate_stage(df))
+    usable, _ = batch.split_event_time(batch.sales_from_published(pub))
+    (w,) = batch.turnover_stage(usable).collect()
+    assert w.total_amount == 1e300 and w.n_events == 4
+
+
 def test_uuid_is_canonicalised(spark):
     (r,) = run(spark, [msg(transaction_id="3F2B8C1E9D4A4E6B8A7C2D1E0F9B8A76")])
     assert r.txn.transaction_id == "3f2b8c1e-9d4a-4e6b-8a7c-2d1e0f9b8a76"
