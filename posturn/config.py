@@ -44,6 +44,9 @@ MSG_STRING = "Input should be a valid string"
 MSG_INT = "Input should be a valid integer"
 MSG_INT_FRACTION = "Input should be a valid integer, got a number with a fractional part"
 MSG_INT_PARSE = "Input should be a valid integer, unable to parse string as an integer"
+# Our own text (no counterpart in the service, whose integers are unbounded):
+# an integral value that does not fit a 64-bit BIGINT.
+MSG_INT_RANGE = "Input should be an integer within the 64-bit range"
 MSG_NUMBER = "Input should be a valid number"
 MSG_LIST = "Input should be a valid list"
 MSG_UUID = "Input should be a valid UUID"

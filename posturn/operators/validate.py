@@ -63,7 +63,8 @@ def _number_field_errors(jt: JType, field: str) -> Column:
 
 
 def _integral(x: Column) -> Column:
-    return F.coalesce((x == F.floor(x)) & ~F.isnan(x), F.lit(False))
+    # round() stays DOUBLE; floor() would return BIGINT and overflow past 2^63.
+    return F.coalesce((x == F.round(x, 0)) & ~F.isnan(x), F.lit(False))
 
 
 def _item_info(x: Column, i: Column) -> Column:
@@ -77,12 +78,13 @@ def _item_info(x: Column, i: Column) -> Column:
     rule = (F.when(q <= 0, F.lit(C.MSG_QUANTITY)).when(p <= 0, F.lit(C.MSG_PRICE))
             .when(t <= 0, F.lit(C.MSG_LINE_TOTAL)))
     qty_errors = F.when(~jq.is_bool & ~_integral(q), F.array(_field_error("quantity", C.MSG_INT_FRACTION))) \
+        .when(~jq.is_bool & q.try_cast("bigint").isNull(), F.array(_field_error("quantity", C.MSG_INT_RANGE))) \
         .otherwise(F.array().cast("array<string>"))
     field_errors = F.concat(_string_field_errors(jid, "item_id"), _string_field_errors(jname, "name"),
                             qty_errors)
     errors = F.when(rule.isNotNull(), F.array(_value_error(i.cast("string"), rule))).otherwise(field_errors)
     typed = F.struct(get_string(x, "$.item_id").alias("item_id"), get_string(x, "$.name").alias("name"),
-                     q.cast("int").alias("quantity"), p.alias("price_per_unit"), t.alias("total_price"))
+                     q.try_cast("bigint").alias("quantity"), p.alias("price_per_unit"), t.alias("total_price"))
     return F.struct(crash.alias("crash"), F.when(crash, F.array().cast("array<string>"))
                     .otherwise(errors).alias("errors"), typed.alias("item"))
 
@@ -121,12 +123,13 @@ def _typed_item_error(x: Column, i: Column) -> Column:
     rule = (F.when(x["quantity"] <= 0, F.lit(C.MSG_QUANTITY)).when(x["price_per_unit"] <= 0, F.lit(C.MSG_PRICE))
             .when(x["total_price"] <= 0, F.lit(C.MSG_LINE_TOTAL)))
     return F.when(rule.isNotNull(), _value_error(i.cast("string"), rule)) \
-        .when(~_integral(x["quantity"]), _field_error("quantity", C.MSG_INT_FRACTION))
+        .when(~_integral(x["quantity"]), _field_error("quantity", C.MSG_INT_FRACTION)) \
+        .when(x["quantity"].try_cast("bigint").isNull(), _field_error("quantity", C.MSG_INT_RANGE))
 
 
 def _typed_items(items: Column) -> Column:
     return F.transform(items, lambda x: F.struct(
-        x["item_id"].alias("item_id"), x["name"].alias("name"), x["quantity"].cast("int").alias("quantity"),
+        x["item_id"].alias("item_id"), x["name"].alias("name"), x["quantity"].try_cast("bigint").alias("quantity"),
         x["price_per_unit"].alias("price_per_unit"), x["total_price"].alias("total_price")))
 
 
@@ -179,7 +182,7 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
         j["timestamp"].alias("timestamp"), j["store_id"].alias("store_id"), j["cashier_id"].alias("cashier_id"),
         _typed_items(j["items"]).alias("items"), j["total_amount"].alias("total_amount"),
         j["payment_method"].alias("payment_method"), j["payment_status"].alias("payment_status"),
-        j["customer_id"].alias("customer_id"), j["loyalty_points_earned"].cast("int").alias("loyalty_points_earned"),
+        j["customer_id"].alias("customer_id"), j["loyalty_points_earned"].alias("loyalty_points_earned"),
         j["receipt"].alias("receipt"))
 
     # ---- slow path -----------------------------------------------------------
@@ -252,13 +255,16 @@ def _slow_stages(vc: Column) -> list[dict[str, Column]]:
     jl = t["loyalty_points_earned"]
     loyalty_num = get_double(vc, "$.loyalty_points_earned")
     loyalty_text = get_string(vc, "$.loyalty_points_earned")
+    loyalty = F.when(jl.is_str, F.trim(loyalty_text).try_cast("bigint")).otherwise(loyalty_num.try_cast("bigint"))
     loyalty_errors = (
         F.when(jl.missing, F.array(_field_error("loyalty_points_earned", C.MSG_REQUIRED)))
         .when(jl.is_str & ~F.coalesce(loyalty_text.rlike(_INT_TEXT_RE), F.lit(False)),
               F.array(_field_error("loyalty_points_earned", C.MSG_INT_PARSE)))
+        .when(jl.is_str & loyalty.isNull(), F.array(_field_error("loyalty_points_earned", C.MSG_INT_RANGE)))
         .when(jl.is_str | jl.is_bool, F.array().cast("array<string>"))
         .when(jl.is_num & ~_integral(loyalty_num),
               F.array(_field_error("loyalty_points_earned", C.MSG_INT_FRACTION)))
+        .when(jl.is_num & loyalty.isNull(), F.array(_field_error("loyalty_points_earned", C.MSG_INT_RANGE)))
         .when(~jl.is_num, F.array(_field_error("loyalty_points_earned", C.MSG_INT)))
         .otherwise(F.array().cast("array<string>")))
     receipt_errors = (
@@ -284,7 +290,6 @@ def _slow_stages(vc: Column) -> list[dict[str, Column]]:
     errors = (F.when(crash.isNotNull(), F.array(F.concat(F.lit(C.REASON_MISSING_OR_WRONG_TYPE), crash)))
               .when(fr.isNotNull(), F.array(_value_error("body", fr["detail"])))
               .otherwise(F.col("_s_field_errors")))
-    loyalty = F.when(jl.is_str, F.trim(loyalty_text).cast("bigint")).otherwise(loyalty_num.cast("bigint"))
     txn = F.struct(
         canonical_uuid(tid).alias("transaction_id"),
         get_string(vc, "$.timestamp").alias("timestamp"),
@@ -295,7 +300,7 @@ def _slow_stages(vc: Column) -> list[dict[str, Column]]:
         method.alias("payment_method"),
         status.alias("payment_status"),
         get_string(vc, "$.customer_id").alias("customer_id"),
-        loyalty.cast("int").alias("loyalty_points_earned"),
+        loyalty.alias("loyalty_points_earned"),
         F.struct(get_string(vc, "$.receipt.receipt_id").alias("receipt_id"),
                  get_string(vc, "$.receipt.date").alias("date"),
                  receipt_total.alias("total_amount"),

@@ -20,7 +20,7 @@ AGGREGATED_FIELDS = ("total_amount", "event_id", "store_id",
 ITEM = T.StructType([
     T.StructField("item_id", T.StringType()),
     T.StructField("name", T.StringType()),
-    T.StructField("quantity", T.IntegerType()),
+    T.StructField("quantity", T.LongType()),   # Python ints are unbounded
     T.StructField("price_per_unit", T.DoubleType()),
     T.StructField("total_price", T.DoubleType()),
 ])
@@ -43,7 +43,7 @@ TRANSACTION = T.StructType([
     T.StructField("payment_method", T.StringType()),
     T.StructField("payment_status", T.StringType()),
     T.StructField("customer_id", T.StringType()),
-    T.StructField("loyalty_points_earned", T.IntegerType()),
+    T.StructField("loyalty_points_earned", T.LongType()),
     T.StructField("receipt", RECEIPT),
 ])
 

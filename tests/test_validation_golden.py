@@ -168,6 +168,21 @@ def test_amounts_beyond_decimal_range_do_not_fail_the_job(spark):
     assert w.total_amount == 1e300 and w.n_events == 4
 
 
+def test_large_integers_are_kept_or_refused_without_failing(spark):
+    """Integers beyond 32 bits are kept (BIGINT); beyond 64 bits they are a field error."""
+    def items(q):
+        return [{"item_id": "i1", "name": "Tea", "quantity": q, "price_per_unit": 1.0, "total_price": 3.49}]
+    texts = [msg(items=items(10**10)), msg(loyalty_points_earned=10**12),
+             msg(loyalty_points_earned="99999999999"), msg(loyalty_points_earned=10**12, extra_field=1),
+             msg(loyalty_points_earned=10**20), msg(items=items(1e20))]
+    rows = run(spark, texts)
+    assert [r.outcome for r in rows[:4]] == [C.OUTCOME_PUBLISHED] * 4
+    assert rows[0].txn["items"][0].quantity == 10**10
+    assert [r.txn.loyalty_points_earned for r in rows[1:4]] == [10**12, 99999999999, 10**12]
+    assert rows[4].errors == ["Field 'loyalty_points_earned' validation failed: " + C.MSG_INT_RANGE]
+    assert rows[5].errors == ["Field 'quantity' validation failed: " + C.MSG_INT_RANGE]
+
+
 def test_uuid_is_canonicalised(spark):
     (r,) = run(spark, [msg(transaction_id="3F2B8C1E9D4A4E6B8A7C2D1E0F9B8A76")])
     assert r.txn.transaction_id == "3f2b8c1e-9d4a-4e6b-8a7c-2d1e0f9b8a76"
