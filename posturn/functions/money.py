@@ -44,7 +44,7 @@ def py_float_text(x: Column) -> Column:
     s = x.cast("string")
     sci = r"\A(-?)([0-9])\.([0-9]+)E(-?[0-9]+)\z"
     sign, digits = F.regexp_extract(s, sci, 1), F.concat(F.regexp_extract(s, sci, 2), F.regexp_extract(s, sci, 3))
-    exp = F.regexp_extract(s, sci, 4).cast("int")
+    exp = F.regexp_extract(s, sci, 4).try_cast("int")
     whole = exp + 1
     big = F.when(F.length(digits) <= whole, F.concat(F.rpad(digits, whole, "0"), F.lit(".0"))) \
         .otherwise(F.concat(digits.substr(F.lit(1), whole), F.lit("."), digits.substr(whole + 1, F.lit(64))))

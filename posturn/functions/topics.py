@@ -36,5 +36,5 @@ def topic_matches(topic: Column, subscription: str) -> Column:
 
 
 def topic_level(topic: Column, index: int) -> Column:
-    """1-based level of a topic (negative counts from the end)."""
-    return F.element_at(F.split(topic, "/"), index)
+    """1-based level of a topic (negative counts from the end); NULL past either end."""
+    return F.try_element_at(F.split(topic, "/"), F.lit(index))

@@ -154,7 +154,7 @@ def _envelope_columns(env: DataFrame, id_field: str, *extra) -> DataFrame:
         "topic", "key", *extra,
         F.col("headers")[0]["key"].alias("header_key"),
         F.col("headers")[0]["value"].cast("string").alias("header_value"),
-        F.get_json_object("value", "$.total_amount").cast("double").alias("payload_total_amount"),
+        F.get_json_object("value", "$.total_amount").try_cast("double").alias("payload_total_amount"),
         F.get_json_object("value", "$.store_id").alias("payload_store_id"),
         F.get_json_object("value", f"$.{id_field}").alias("payload_id"))
 

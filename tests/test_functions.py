@@ -86,3 +86,11 @@ def test_progress_observation(spark):
     df, obs = observe_progress(spark.range(1234))
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == 1234
+
+
+def test_topic_levels_past_the_end_are_null(spark):
+    from posturn.operators.route import parse_topic
+    df = spark.createDataFrame([("sale/pos/transaction/aggregations/STORE_1/abc/10.5",), ("x",)], "topic string")
+    rows = parse_topic(df).orderBy("topic").collect()
+    assert rows[0].t_store_id == "STORE_1" and rows[0].t_customer_id is None
+    assert rows[1].t_kind is None
