@@ -88,6 +88,10 @@ def test_strict_scan_hot_store_matches_brute_force(spark):
     assert got == expected and sum(expected.values()) > 100
 
 
+def test_stream_generic_fold_equals_turnover(spark, duck):
+    _check(spark, duck, "stream_generic_fold", "turnover_10s")
+
+
 def test_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "generic_fold", "turnover_10s")
 
