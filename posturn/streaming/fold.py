@@ -38,21 +38,22 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
     fields, appended once per window after it closes.
     """
     w = tumbling_window(F.col(time_col), length_seconds, align_to)
+    # Window bounds travel as epoch microseconds: no time-zone conversion in
+    # Python, whatever the executors' local zone.
     rows = (df.withWatermark(time_col, f"{int(lateness_ms)} milliseconds")
-              .select(F.col(key).alias("_key"), w.start.alias("window_start"), w.end.alias("window_end"),
-                      time_col, *value_cols))
+              .select(F.col(key).alias("_key"), F.unix_micros(w.start).alias("_ws"),
+                      F.unix_micros(w.end).alias("_we"), time_col, *value_cols))
     acc_fields = [f.name for f in acc_schema.fields]
     out_schema = T.StructType([T.StructField("_key", df.schema[key].dataType),
-                               T.StructField("window_start", T.TimestampType()),
-                               T.StructField("window_end", T.TimestampType()), *acc_schema.fields])
+                               T.StructField("_ws", T.LongType()), T.StructField("_we", T.LongType()),
+                               *acc_schema.fields])
 
     def fold(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k, start, end = group
+        k, start_us, end_us = group
         if state.hasTimedOut:
             acc = dict(zip(acc_fields, state.get))
             state.remove()
-            yield pd.DataFrame([{"_key": k, "window_start": start, "window_end": end,
-                                 **{f: acc.get(f) for f in acc_fields}}])
+            yield pd.DataFrame([{"_key": k, "_ws": start_us, "_we": end_us, **{f: acc.get(f) for f in acc_fields}}])
             return
         acc = dict(zip(acc_fields, state.get)) if state.exists else builder()
         for pdf in pdfs:
@@ -60,8 +61,9 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
                 acc = folder(acc, rec)
         state.update(tuple(acc.get(f) for f in acc_fields))
         # Fires once the watermark reaches the window end (watermark > end - 1 ms).
-        state.setTimeoutTimestamp(int(pd.Timestamp(end).timestamp() * 1000) - 1)
+        state.setTimeoutTimestamp(int(end_us) // 1000 - 1)
 
-    folded = rows.groupBy("_key", "window_start", "window_end").applyInPandasWithState(
+    folded = rows.groupBy("_key", "_ws", "_we").applyInPandasWithState(
         fold, out_schema, acc_schema, "append", GroupStateTimeout.EventTimeTimeout)
-    return folded.withColumnRenamed("_key", key)
+    return folded.select(F.col("_key").alias(key), F.timestamp_micros("_ws").alias("window_start"),
+                         F.timestamp_micros("_we").alias("window_end"), *acc_fields)
