@@ -306,5 +306,6 @@ ORACLE["stream_strict_late"] = ORACLE["late_split"]
 ORACLE["stream_strict_late_scan"] = ORACLE["late_split"]
 ORACLE["stream_chain"] = ORACLE["store_routes"]
 ORACLE["stream_generic_fold"] = ORACLE["turnover_10s"]
+ORACLE["stream_strict_turnover"] = ORACLE["turnover_on_time"]
 ORACLE["generic_fold"] = ORACLE["turnover_10s"]
 ORACLE["json_lookup"] = "SELECT p_name AS name, p_retailprice AS price FROM part"

@@ -92,6 +92,10 @@ def test_stream_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "stream_generic_fold", "turnover_10s")
 
 
+def test_stream_strict_turnover_equals_batch(spark, duck):
+    _check(spark, duck, "stream_strict_turnover", "turnover_on_time")
+
+
 def test_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "generic_fold", "turnover_10s")
 
