@@ -64,6 +64,21 @@ def test_strict_scan_carries_clock_and_replays_idempotently(spark):
     assert [(r.store_id, r.clock.second) for r in clocks] == [("STORE_1", 33)]
 
 
+def test_strict_scan_carries_clock_over_empty_batches(spark):
+    root = scratch_path(spark, "streams", "strict-scan-empty")
+    write = strict_late_scan_writer(root)
+    schema = "store_id string, event_id long, sec int, total_amount double, arrival_key long"
+
+    def batch(rows):
+        df = spark.createDataFrame(rows, schema)
+        return df.select("store_id", "event_id", F.timestamp_seconds("sec").alias("event_time"), "total_amount",
+                         "arrival_key")
+    for epoch, rows in enumerate([[], [("S", 1, 5, 1.0, 1), ("S", 2, 1, 1.0, 2)], [], [("S", 3, 3, 1.0, 3)]]):
+        write(batch(rows), epoch)
+    tagged = spark.read.parquet(os.path.join(root, "tagged"))
+    assert sorted((r.event_id, r.late) for r in tagged.collect()) == [(1, False), (2, True), (3, True)]
+
+
 def test_strict_scan_hot_store_matches_brute_force(spark):
     """One store holds most rows; chunks split each batch; clocks carry across batches."""
     import random
