@@ -39,7 +39,9 @@ def py_float_text(x: Column) -> Column:
     Python is positional for 1e-4 <= |x| < 1e16, Spark switches to
     ``d.dddE<n>`` from 1e7 up and below 1e-3.  In that band the scientific
     text is rewritten to positional form by moving the decimal point, a
-    fixed-size string expression.  Outside it, Spark's text is returned.
+    fixed-size string expression.  Outside it, the notation is Python's
+    (``1e+16``, ``1.5e-05``) and so are ``nan``/``inf``; there Spark's digits
+    can, rarely, be one longer than Python's shortest.
     """
     s = x.cast("string")
     sci = r"\A(-?)([0-9])\.([0-9]+)E(-?[0-9]+)\z"
@@ -50,4 +52,14 @@ def py_float_text(x: Column) -> Column:
         .otherwise(F.concat(digits.substr(F.lit(1), whole), F.lit("."), digits.substr(whole + 1, F.lit(64))))
     small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exp - 1), F.regexp_replace(digits, "0+\\z", ""))
     positional = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16) & s.contains("E")
-    return F.when(positional, F.concat(sign, F.when(exp >= 0, big).otherwise(small))).otherwise(s)
+    frac = F.regexp_extract(s, sci, 3)
+    mantissa = F.concat(sign, F.regexp_extract(s, sci, 2), F.when(frac != "0", F.concat(F.lit("."), frac))
+                        .otherwise(F.lit("")))
+    exponent = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    scientific = F.concat(mantissa, F.lit("e"), exponent)
+    return (F.when(positional, F.concat(sign, F.when(exp >= 0, big).otherwise(small)))
+             .when(s.contains("E"), scientific)
+             .when(F.isnan(x), F.lit("nan"))
+             .when(x == float("inf"), F.lit("inf"))
+             .when(x == float("-inf"), F.lit("-inf"))
+             .otherwise(s))

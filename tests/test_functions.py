@@ -94,3 +94,10 @@ def test_topic_levels_past_the_end_are_null(spark):
     rows = parse_topic(df).orderBy("topic").collect()
     assert rows[0].t_store_id == "STORE_1" and rows[0].t_customer_id is None
     assert rows[1].t_kind is None
+
+
+def test_py_float_text_outside_positional_range(spark):
+    vals = [1e16, 1.5e16, 1e-5, 1.5e-05, -2.5e-7, 1.2e100, -1e20, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.t for r in df.select(py_float_text(F.col("x")).alias("t")).collect()]
+    assert got == [repr(v) for v in vals]
