@@ -55,7 +55,9 @@ def py_float_text(x: Column) -> Column:
     frac = F.regexp_extract(s, sci, 3)
     mantissa = F.concat(sign, F.regexp_extract(s, sci, 2), F.when(frac != "0", F.concat(F.lit("."), frac))
                         .otherwise(F.lit("")))
-    exponent = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")), F.lpad(F.abs(exp).cast("string"), 2, "0"))
+    magnitude = F.abs(exp).cast("string")   # at least two digits, never truncated
+    exponent = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                        F.when(F.abs(exp) < 10, F.concat(F.lit("0"), magnitude)).otherwise(magnitude))
     scientific = F.concat(mantissa, F.lit("e"), exponent)
     return (F.when(positional, F.concat(sign, F.when(exp >= 0, big).otherwise(small)))
              .when(s.contains("E"), scientific)
