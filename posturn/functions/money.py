@@ -59,6 +59,13 @@ def py_float_text(x: Column) -> Column:
     exponent = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
                         F.when(F.abs(exp) < 10, F.concat(F.lit("0"), magnitude)).otherwise(magnitude))
     scientific = F.concat(mantissa, F.lit("e"), exponent)
+    # Where the JVM printed 17 digits, a 15- or 16-digit form that reads back
+    # as the same double is the shorter one Python prints ("%e" already writes
+    # the exponent Python's way).  Shortest first.
+    for precision in (15, 14):
+        candidate = F.regexp_replace(F.format_string(f"%.{precision}e", x), r"\.?0+e", "e")
+        shorter = (F.length(digits) >= 17) & F.coalesce(candidate.try_cast("double") == x, F.lit(False))
+        scientific = F.when(shorter, candidate).otherwise(scientific)
     return (F.when(positional, F.concat(sign, F.when(exp >= 0, big).otherwise(small)))
              .when(s.contains("E"), scientific)
              .when(F.isnan(x), F.lit("nan"))
