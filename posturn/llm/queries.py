@@ -22,8 +22,73 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+SPAM_HOSTS = "casino|bets|pills|ads-|spam|adult"
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL; listed are the canonical URLs on hosts with a spam term."""
+    from posturn.llm.urls import canonical, filter_urls, host_of
+
+    pages = table(prepared(spark), sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "rule string, action string")
+    listed = pages.where(host_of(F.col("url")).rlike(SPAM_HOSTS)).select(canonical(F.col("url")).alias("url"))
+    return filter_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "listed", "verdict")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels of rows that are not held out."""
+    from posturn.llm.quality import quality_scores
+
+    prepared(spark)
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal after lower-casing A-Z; the largest id stays."""
+    from posturn.llm.exact import exact_groups
+
+    groups = exact_groups(table(prepared(spark), sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_url_filter": op3_url_filter,
+    "op5_quality": op5_quality,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+LLM_ORACLE: dict[str, str] = {
+    "op3_url_filter": rf"""
+with parts as (
+  select page_id, url,
+    coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), {_UPPER}, {_LOWER}), '') as host,
+    coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') as path
+  from pages),
+canon as (
+  select *, case when host = '' then '' else
+    regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '')
+    || regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/$', '') end as key
+  from parts),
+listed as (select distinct key from canon where key <> '' and regexp_matches(host, '{SPAM_HOSTS}')),
+rules(rule, rhost, rpath, action) as (values
+  ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+  ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+best as (
+  select c.page_id, c.host, c.path, c.key,
+    (select r.rule from rules r where (c.host = r.rhost or ends_with(c.host, '.' || r.rhost))
+       and starts_with(c.path, r.rpath) order by length(r.rule) desc, r.rule limit 1) as rule
+  from canon c)
+select page_id, host, path, rule, key in (select key from listed) as listed,
+  coalesce((select action from rules r where r.rule = best.rule),
+           case when key in (select key from listed) then 'block' else 'allow' end) as verdict
+from best""",
+    "op7_exact_dedup": f"""
+with norm as (select doc_id, translate(coalesce(text, ''), {_UPPER}, {_LOWER}) as t from documents)
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+  doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256
+from norm window w as (partition by t)""",
+}
