@@ -52,11 +52,24 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha256")).alias("text_sha256"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of a power of two, at most 2048 tokens."""
+    from posturn.llm.packing import pack
+
+    return packed_digest(pack(table(prepared(spark), sf_dir, "documents")))
+
+
+def packed_digest(pieces: DataFrame) -> DataFrame:
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op5_quality": op5_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_packing": op8_packing,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
