@@ -44,6 +44,36 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back; revisits take their payload's figures from the response."""
+    from posturn.llm.warc import archive_folder, base32_sha1, read_warc, write_warc
+
+    folder = archive_folder(prepared(spark))
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc_digest(read_warc(spark, folder).select(
+        "type", "record_id", "refers_to", "digest", F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_sha1(F.col("payload")).alias("payload_digest")))
+
+
+def warc_digest(records: DataFrame) -> DataFrame:
+    """One row per record, from its type, ids and its payload's size and digest."""
+    from posturn.llm.common import written
+
+    records = written(records, "warc-records")
+    page = r"^<urn:page:(-?\d+)>$"
+    own = F.regexp_extract("record_id", page, 1).try_cast("long")
+    responses = records.where("type = 'response'")
+    of_response = responses.groupBy(F.col("record_id").alias("refers_to"), F.col("payload_digest")).agg(
+        F.first("payload_bytes").alias("payload_bytes"))
+    first = responses.select(own.alias("page_id"), "payload_bytes", "payload_digest",
+                             F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    revisits = records.where("type = 'revisit'").select("record_id", "refers_to", F.expr(
+        "substring(digest, 6)").alias("payload_digest")).join(of_response, ["refers_to", "payload_digest"]).select(
+        own.alias("page_id"), "payload_bytes", "payload_digest", F.lit("revisit").alias("record_type"),
+        F.regexp_extract("refers_to", page, 1).try_cast("long").alias("refers_to"))
+    return first.unionByName(revisits)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that are equal after lower-casing A-Z; the largest id stays."""
     from posturn.llm.exact import exact_groups
@@ -68,6 +98,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op5_quality": op5_quality,
+    "op6_warc": op6_warc,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
 }
@@ -104,4 +135,13 @@ with norm as (select doc_id, translate(coalesce(text, ''), {_UPPER}, {_LOWER}) a
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
   doc_id = max(doc_id) over w as kept, sha256(t) as text_sha256
 from norm window w as (partition by t)""",
+    "op6_warc": """
+with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+g as (select *, min(page_id) over (partition by html) as first_id from p)
+select page_id, strlen(html)::bigint as payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    ((('0x' || substr(h, (i * 5 // 20 * 5 + 1)::int, 5))::int >> (15 - i % 4 * 5)::int) & 31) + 1, 1)), '') as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to
+from g""",
 }
