@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from posturn.llm.common import prepared, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items leaked into documents: latent search, then subsequence and answer checks."""
+    from posturn.llm.decontam import leaks
+
+    prepared(spark)
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: 3-word shingles, at most 2 differing bits."""
     from posturn.llm.simhash import simhash_groups
@@ -95,6 +103,7 @@ def packed_digest(pieces: DataFrame) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
     "op5_quality": op5_quality,
