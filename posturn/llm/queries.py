@@ -6,12 +6,14 @@ of its contract; ``ORACLE`` has the DuckDB SQL where SQL can express one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from posturn.llm.common import prepared, table
+from posturn.session import scratch_path
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +46,15 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, rules, listed).select("page_id", "host", "path", "rule", "listed", "verdict")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by scanning flat token streams for separators."""
+    from posturn.llm.token_counts import token_counts, write_streams
+
+    path = scratch_path(prepared(spark), "llm", f"tokens-{uuid.uuid4().hex}")
+    write_streams(table(spark, sf_dir, "documents"), path)
+    return token_counts(spark, path)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learnt from the labels of rows that are not held out."""
     from posturn.llm.quality import quality_scores
@@ -106,6 +117,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
     "op3_url_filter": op3_url_filter,
+    "op4_token_counts": op4_token_counts,
     "op5_quality": op5_quality,
     "op6_warc": op6_warc,
     "op7_exact_dedup": op7_exact_dedup,
