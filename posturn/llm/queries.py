@@ -113,6 +113,13 @@ def packed_digest(pieces: DataFrame) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document holds too, edits allowed."""
+    from posturn.llm.passages import repeated_passages
+
+    return repeated_passages(table(prepared(spark), sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -122,6 +129,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
+    "op9_passages": op9_passages,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
