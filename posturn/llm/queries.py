@@ -120,6 +120,16 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(prepared(spark), sf_dir, "documents"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 50-byte string of an earlier document, removed."""
+    from posturn.llm.substrings import removed_substrings
+
+    cut = removed_substrings(table(prepared(spark), sf_dir, "documents"), length=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -130,6 +140,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_packing": op8_packing,
     "op9_passages": op9_passages,
+    "op10_substrings": op10_substrings,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
