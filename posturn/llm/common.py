@@ -21,9 +21,14 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
 
 
+#: Rows of whole texts that a Python worker holds at a time.
+BATCH_ROWS = "1000"
+
+
 def prepared(spark: SparkSession) -> SparkSession:
-    """The session with the library's settings, package and checkpoint folder."""
+    """The session with the library's settings, package and checkpoint folder, and batches fit for whole texts."""
     configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     scratch_path(spark)
     return spark
 

@@ -183,6 +183,7 @@ def link_forest(prints: DataFrame, max_bits: int, cap: int = GROUP_CAP) -> DataF
     again (a written table).
     """
     parts = max_bits + 1
+    cap = max(cap, 1 << parts)  # so that a node with too many members always has a free bit for each run
     masks = _children(0, parts)
     rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask")) \
         .withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))

@@ -10,7 +10,7 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Pieces that a worker keeps; the ones met first include nearly all frequent ones.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 _SPACE_RUN = re.compile(r" \s|\s ")
 
