@@ -20,23 +20,30 @@ _INTEGER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 _NUMBER_TYPES = _INTEGER_TYPES + ("DOUBLE", "FLOAT", "BOOLEAN")
 
 
-def is_json_object(v: Column, text: Column) -> Column:
-    """True when the parsed variant ``v`` of ``text`` is a JSON object.
+_END = "end of message"
 
-    False for invalid JSON, for JSON that is not an object (``null``, ``5``,
-    ``[]``) and for text with trailing garbage after the closing brace, which
-    the variant parser would otherwise tolerate.  Pass the *column* holding
-    the parsed variant, so the text is parsed only once.
+
+def parse_single_json(text: Column) -> Column:
+    """The VARIANT of a text that is one JSON value and nothing more, else NULL.
+
+    The parser stops after the first value and ignores what follows.  So the
+    text is parsed as the first of two array elements: anything after it breaks
+    the array or keeps the end mark from being the second element.
     """
-    return (v.isNotNull()
-            & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-            & F.coalesce(text.rlike(r"\}\s*\z"), F.lit(False)))
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    mark = F.try_variant_get(wrapped, "$[1]", "string")
+    return F.when(mark == _END, F.try_variant_get(wrapped, "$[0]", "variant"))
+
+
+def is_json_object(v: Column) -> Column:
+    """True when the parsed variant ``v`` is a JSON object, not NULL or another value (``null``, ``5``, ``[]``)."""
+    return v.isNotNull() & F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
 def with_parsed_json(df, text_col: str, variant_col: str = "_v", object_col: str = "_is_obj"):
     """Add the parsed VARIANT and the is-object flag (one parse per row)."""
-    out = df.withColumn(variant_col, F.try_parse_json(F.col(text_col)))
-    return out.withColumn(object_col, is_json_object(F.col(variant_col), F.col(text_col)))
+    out = df.withColumn(variant_col, parse_single_json(F.col(text_col)))
+    return out.withColumn(object_col, is_json_object(F.col(variant_col)))
 
 
 def json_type(v: Column, path: str) -> Column:

@@ -1,10 +1,10 @@
 """Money arithmetic and the number text used in topic paths.
 
-Amounts are summed as DECIMAL(18,2): exact, independent of the order in which
-partial sums are merged across tasks, and equal to rounding the true sum to
-cents.  Results are returned as DOUBLE, the type of the message contract.
-An amount outside DECIMAL(18,2) (|x| >= 1e16) never raises: that sum falls
-back to DOUBLE arithmetic, as the service's float accumulator would do.
+Amounts are summed with ten decimals, exactly and independent of the order in
+which partial sums are merged across tasks, and rounded to cents only where a
+message is made.  Results are returned as DOUBLE, the type of the message
+contract.  An amount that a DECIMAL(28,10) cannot hold (|x| >= 1e18, not a
+number) never raises: it is added to the others' exact sum as a DOUBLE.
 """
 
 from __future__ import annotations
@@ -12,23 +12,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(28,10)"
 
 
-def cents(amount: Column) -> Column:
-    """DOUBLE amount -> DECIMAL(18,2); NULL when it does not fit."""
+def exact_amount(amount: Column) -> Column:
+    """DOUBLE amount -> DECIMAL(28,10); NULL when it does not fit."""
     return amount.try_cast(MONEY)
 
 
 def money_sum(amount: Column) -> Column:
-    """Aggregate: exact cent sum of DOUBLE amounts, as DOUBLE.
-
-    When some amount does not fit DECIMAL(18,2) the group's DOUBLE sum is
-    returned instead; one such record never fails the job.
-    """
-    exact = F.try_sum(cents(amount))
-    misfits = F.count_if(amount.isNotNull() & cents(amount).isNull())
-    return F.when((misfits == 0) & exact.isNotNull(), exact.cast("double")).otherwise(F.sum(amount))
+    """Aggregate: unrounded sum of DOUBLE amounts, as DOUBLE; NULL without amounts."""
+    exact = F.try_sum(exact_amount(amount)).cast("double")
+    misfits = F.sum(F.when(exact_amount(amount).isNull(), amount))
+    return F.when(misfits.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + misfits)
 
 
 def py_float_text(x: Column) -> Column:

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.money import MONEY, exact_amount
 
-_CENTS_ACC = "decimal(28,2)"
+_EXACT_SUM = "decimal(38,10)"
 
 
 def basket_fold(items: Column) -> Column:
@@ -25,14 +26,16 @@ def basket_fold(items: Column) -> Column:
 
 
 def basket_sum(items: Column) -> Column:
-    """Exact cent sum of ``items[*].total_price`` as DOUBLE.
+    """Sum of ``items[*].total_price``, rounded once to cents, as DOUBLE.
 
-    A line total outside DECIMAL(18,2) makes the exact sum NULL; the basket
-    then takes the DOUBLE fold rounded to cents, as the service does.
+    Lines are added exactly; one that a DECIMAL(28,10) cannot hold is added to
+    the others' sum as a DOUBLE.
     """
-    acc = F.aggregate(items, F.lit(0).cast(_CENTS_ACC),
-                      lambda a, x: (a + x["total_price"].try_cast("decimal(18,2)")).try_cast(_CENTS_ACC))
-    return F.coalesce(acc.cast("double"), F.round(basket_fold(items), 2))
+    exact = F.aggregate(items, F.lit(0).cast(_EXACT_SUM), lambda a, x: (
+        a + F.coalesce(exact_amount(x["total_price"]), F.lit(0).cast(MONEY))).cast(_EXACT_SUM))
+    misfits = F.aggregate(items, F.lit(0.0).cast("double"), lambda a, x: F.when(
+        exact_amount(x["total_price"]).isNull(), a + x["total_price"]).otherwise(a))
+    return F.round(exact, 2).cast("double") + misfits
 
 
 def correct_totals(df: DataFrame, txn_col: str = "txn") -> DataFrame:

@@ -3,7 +3,7 @@
 Physical shape: partial hash aggregate per task -> one hash exchange on
 (window, key) -> final aggregate.  Only partial states cross the network, so
 a store that holds a third of all sales costs no more shuffle than any other;
-the DECIMAL(18,2) sums are exact and merge in any order.
+the sums are exact, unrounded and merge in any order.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ def turnover(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
     """Accumulate (sum, min time, max time, count) per (key, window).
 
     Columns: key, window_start, window_end (TIMESTAMP), total_amount (DOUBLE,
-    exact cents), min_ts, max_ts, n_events.  Works unchanged on a streaming
+    unrounded), min_ts, max_ts, n_events.  Works unchanged on a streaming
     DataFrame that carries a watermark on ``time_col``.
     """
     w = tumbling_window(F.col(time_col), length_seconds, align_to)
@@ -50,7 +50,7 @@ def merge_turnover(*parts: DataFrame, key: str = "store_id") -> DataFrame:
     """Merge partial turnover tables of the same windowing (sum/min/max/count).
 
     Null-tolerant on either side like the streaming merger; exact because the
-    partial totals are whole cents.
+    partial totals are not rounded.
     """
     u = parts[0]
     for p in parts[1:]:

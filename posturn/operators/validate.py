@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.ids import canonical_uuid, is_uuid_text
-from ..functions.jsonv import JType, get_double, get_string, json_type, python_str, with_parsed_json
+from ..functions.jsonv import JType, get_double, get_string, json_type, parse_single_json, python_str, with_parsed_json
 from ..schemas import RECEIPT_FIELDS, TRANSACTION_FIELDS
 
 _STORE_RE = r"\ASTORE_0*([1-9]|10)\z"
@@ -143,12 +143,11 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
     once, only for the rows that need it, and the generated code stays small.
     Both paths implement the same rules and produce the same outputs.
     """
-    out = df.withColumn("_v", F.try_parse_json(F.col(value_col)))
+    out = df.withColumn("_v", parse_single_json(F.col(value_col)))
     vc = F.col("_v")
     out = out.withColumns({"_s": F.schema_of_variant(vc), "_j": F.from_json(F.col(value_col), _TYPED)})
     j = F.col("_j")
-    is_obj = (vc.isNotNull() & F.coalesce(F.col("_s").startswith("OBJECT"), F.lit(False))
-              & F.coalesce(F.col(value_col).rlike(r"\}\s*\z"), F.lit(False)))
+    is_obj = vc.isNotNull() & F.coalesce(F.col("_s").startswith("OBJECT"), F.lit(False))
     # The message type string lists fields in key order and merges basket
     # lines into one element type (a line of another type or shape makes it
     # differ); missing line fields show up as NULLs in the typed parse.

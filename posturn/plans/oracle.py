@@ -45,7 +45,7 @@ def turnover_sql(source: str, length_us: int = 10_000_000, offset_us: int = 0) -
     we = f"make_timestamp(ws + {length_us})"
     return f"""
 SELECT store_id, {iso(ws)} AS window_start, {iso(we)} AS window_end,
-       CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+       CAST(sum(CAST(total_amount AS DECIMAL(28,10))) AS DOUBLE) AS total_amount,
        count(*) AS n_events,
        {iso('min(event_time)')} AS begin_stream_aggregator,
        {iso('max(event_time)')} AS end_stream_aggregator
@@ -57,7 +57,7 @@ GROUP BY store_id, ws"""
 def agg_events_sql(source: str) -> str:
     """Turnover per 10 s window formatted as AggregatedEvent rows (+ ws)."""
     return f"""
-SELECT round(CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE), 2) AS total_amount,
+SELECT round(CAST(sum(CAST(total_amount AS DECIMAL(28,10))) AS DOUBLE), 2) AS total_amount,
        {uuid_of("store_id || '|' || " + iso('make_timestamp(ws)'))} AS event_id,
        store_id,
        {iso('min(event_time)')} AS begin_stream_aggregator,
@@ -73,7 +73,7 @@ def agg_topic(t: str = "") -> str:
 
 FIXTURE = f"""li AS (
   SELECT l_orderkey, count(*) AS n_lines,
-         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS line_cents,
+         round(sum(CAST(l_extendedprice AS DECIMAL(28,10))), 2) AS line_cents,
          list_reduce(list(l_extendedprice ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
                           l_extendedprice), lambda a, x: a + x) AS line_fold,
          bool_and(l_quantity > 0 AND l_extendedprice > 0 AND l_extendedprice / l_quantity > 0) AS lines_ok

@@ -4,8 +4,9 @@ The streaming twin of :func:`posturn.operators.fold.tumbling_fold`: the same
 ``builder`` / ``folder`` and accumulator schema, state per (key, window) in the
 state store, and one output row per window when the watermark passes the
 window end -- the "emit once at close" semantics of the service's window
-operator.  Rows behind the watermark are dropped by Spark before the fold
-(event-time timeout), so a closed window is never emitted twice.
+operator.  A row is late when its window has closed, as in the native window
+aggregate; Spark leaves such rows out before the fold, so a closed window is
+never emitted twice and an out-of-order row of an open window still counts.
 
 The group is (key, window), not key: a hot store is split into its windows,
 and one group's rows in one micro-batch are bounded by the trigger size.
@@ -40,9 +41,15 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
     w = tumbling_window(F.col(time_col), length_seconds, align_to)
     # Window bounds travel as epoch microseconds: no time-zone conversion in
     # Python, whatever the executors' local zone.
+    # The window end, not the row's own time, is what lateness is judged by; it
+    # carries the watermark's mark, and the time column travels without it.
+    delay = {"spark.watermarkDelayMs": int(lateness_ms)}
     rows = (df.withWatermark(time_col, f"{int(lateness_ms)} milliseconds")
               .select(F.col(key).alias("_key"), F.unix_micros(w.start).alias("_ws"),
-                      F.unix_micros(w.end).alias("_we"), time_col, *value_cols))
+                      F.unix_micros(w.end).alias("_we"),
+                      F.timestamp_micros(F.unix_micros(w.end)).alias("_close", metadata=delay),
+                      F.timestamp_micros(F.unix_micros(F.col(time_col))).alias(time_col),
+                      *[c for c in value_cols if c != time_col]))
     acc_fields = [f.name for f in acc_schema.fields]
     out_schema = T.StructType([T.StructField("_key", df.schema[key].dataType),
                                T.StructField("_ws", T.LongType()), T.StructField("_we", T.LongType()),
@@ -60,8 +67,9 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
             for rec in pdf.to_dict("records"):
                 acc = folder(acc, rec)
         state.update(tuple(acc.get(f) for f in acc_fields))
-        # Fires once the watermark reaches the window end (watermark > end - 1 ms).
-        state.setTimeoutTimestamp(int(end_us) // 1000 - 1)
+        # Fires once the watermark reaches the window end (watermark > end - 1 ms);
+        # a timeout must lie ahead of the batch's watermark.
+        state.setTimeoutTimestamp(max(int(end_us) // 1000 - 1, state.getCurrentWatermarkMs() + 1))
 
     folded = rows.groupBy("_key", "_ws", "_we").applyInPandasWithState(
         fold, out_schema, acc_schema, "append", GroupStateTimeout.EventTimeTimeout)

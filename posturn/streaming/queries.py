@@ -44,10 +44,15 @@ def validation_batch_writer(out_root: str):
         validated = validate_stage(batch_df)
         target = _epoch_dir(out_root, "validated", epoch_id)
         validated.write.mode("overwrite").partitionBy("outcome").parquet(target)
-        stored = batch_df.sparkSession.read.parquet(target)
+        stored = batch_df.sparkSession.read.schema(validated.schema).parquet(target)
         published = stored.where(F.col("outcome") == C.OUTCOME_PUBLISHED)
-        env = transaction_envelopes(published).select("key", "value", "topic")
+        env = transaction_envelopes(published).select("key", "value", "topic", "headers")
         env.write.mode("overwrite").parquet(_epoch_dir(out_root, "published", epoch_id))
+        # Published messages that no window can take: kept apart, not dropped downstream.
+        unusable = published.where(parse_event_time(F.col("txn.timestamp")).isNull())
+        transaction_envelopes(unusable).select("key", "value").withColumn(
+            "reason", F.lit(C.REASON_BAD_EVENT_TIME)).write.mode("overwrite").parquet(
+            _epoch_dir(out_root, "bad_event_time", epoch_id))
     return write
 
 
@@ -62,8 +67,8 @@ def sales_from_messages(stream: DataFrame) -> DataFrame:
     """Published transaction JSON -> (store_id, timestamp, event_time, total_amount).
 
     Only the three needed fields are declared, so the parser materialises
-    nothing else; rows whose timestamp does not parse are dropped here (the
-    batch plan quarantines them as ``bad_event_time``).
+    nothing else; rows whose timestamp does not parse have no window and are
+    left out (query A and the batch plan quarantine them as ``bad_event_time``).
     """
     m = F.from_json(F.col("value"), SALE_SLIM)
     sales = stream.select(m.alias("m")).select(
@@ -85,7 +90,8 @@ def aggregate_batch_writer(out_root: str):
     """``foreachBatch`` body of query B: validate, route, keep rejects."""
     def write(batch_df: DataFrame, epoch_id: int) -> None:
         batch_df.write.mode("overwrite").parquet(_epoch_dir(out_root, "aggregates", epoch_id))
-        stored = batch_df.sparkSession.read.parquet(_epoch_dir(out_root, "aggregates", epoch_id))
+        stored = batch_df.sparkSession.read.schema(batch_df.schema).parquet(
+            _epoch_dir(out_root, "aggregates", epoch_id))
         checked = validate_aggregates(stored)
         ok = checked.where(F.col("status") == C.STATUS_SUCCESS)
         routed = route_to_stores(aggregate_envelopes(ok))

@@ -154,7 +154,7 @@ def test_duplicate_keys_keep_last_value(spark):
 
 
 def test_amounts_beyond_decimal_range_do_not_fail_the_job(spark):
-    """Amounts outside DECIMAL(18,2) fall back to float sums instead of raising."""
+    """Amounts that no decimal holds are added as floats instead of raising."""
     from posturn.plans import batch
     huge = [{"item_id": "i1", "name": "Tea", "quantity": 2, "price_per_unit": 1e300, "total_price": 1e300}]
     texts = [msg(), msg(total_amount=1e300), msg(items=huge), msg(total_amount=1e17)]
