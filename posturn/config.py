@@ -39,6 +39,7 @@ MSG_PRICE = "Price per unit must be positive"
 MSG_LINE_TOTAL = "Total price must be positive"
 VALUE_ERROR_PREFIX = "Value error, "
 FIELD_ERROR_FORMAT = "Field '%s' validation failed: %s"
+MSG_JSON = "Input should be one JSON object"
 MSG_REQUIRED = "Field required"
 MSG_STRING = "Input should be a valid string"
 MSG_INT = "Input should be a valid integer"

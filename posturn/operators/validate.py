@@ -191,7 +191,7 @@ def validate_transactions(df: DataFrame, value_col: str = "value") -> DataFrame:
     is_fast = F.col("_fast")
     outcome = (F.when(~F.col("_is_obj"), F.lit(C.OUTCOME_MALFORMED))
                .when(is_fast, f_outcome).otherwise(F.col("_s_outcome")))
-    errors = (F.when(~F.col("_is_obj"), F.array().cast("array<string>"))
+    errors = (F.when(~F.col("_is_obj"), F.array(_field_error("body", C.MSG_JSON)))
               .when(is_fast, f_errors).otherwise(F.col("_s_errors")))
     out = out.withColumns({"outcome": outcome, "errors": errors})
     txn = F.when(F.col("outcome") != "accepted", F.lit(None)).when(is_fast, f_txn).otherwise(F.col("_s_txn"))

@@ -187,7 +187,7 @@ nx AS (
          WHEN stage1 LIKE 'R%' THEN 'rejected'
          WHEN field_errors <> '' THEN 'rejected'
          WHEN payment_status = 'success' THEN 'published' ELSE 'unpaid' END AS outcome,
-    CASE WHEN stage1 = 'M' THEN ''
+    CASE WHEN stage1 = 'M' THEN 'Field ''body'' validation failed: {C.MSG_JSON}'
          WHEN stage1 LIKE 'S%' THEN '{C.REASON_MISSING_OR_WRONG_TYPE}' || substr(stage1, 2)
          WHEN stage1 LIKE 'R%' THEN 'Field ''body'' validation failed: Value error, ' || substr(stage1, 2)
          ELSE field_errors END AS errors_text

@@ -52,7 +52,7 @@ def build_session(master: str | None = None, app_name: str = "posturn",
         builder = builder.config(key, value)
     if master and master.startswith("local"):
         # Local mode: the driver JVM is the only executor.
-        builder = builder.config("spark.driver.memory", os.environ.get("POSTURN_DRIVER_MEMORY", "16g"))
+        builder = builder.config("spark.driver.memory", os.environ.get("POSTURN_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

@@ -135,10 +135,11 @@ def test_integral_quantity(spark):
     assert rows[1].errors == ["Field 'quantity' validation failed: " + C.MSG_INT_FRACTION]
 
 
-@pytest.mark.parametrize("text", ["{bad", "null", "5", "[]", msg() + " x"])
+@pytest.mark.parametrize("text", ["{bad", "null", "5", "[]", msg() + " x", msg() + "}", msg() + " " + msg(), msg() + " x}"])
 def test_malformed(spark, text):
     (r,) = run(spark, [text])
     assert r.outcome == C.OUTCOME_MALFORMED
+    assert r.errors == [f"Field 'body' validation failed: {C.MSG_JSON}"]
 
 
 def test_duplicate_keys_keep_last_value(spark):
