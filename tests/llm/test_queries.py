@@ -91,8 +91,7 @@ def test_pipeline_stages(spark):
 def test_pipeline_edges(spark):
     """Nulls, repeated rows and extra columns go through every stage."""
     prepared(spark)
-    good = table(spark, SF, "documents").where("doc_id < 60").withColumn("__score", table(spark, SF, "documents")["n_chars"])
-    good = good.drop("__score")
+    good = table(spark, SF, "documents").where("doc_id < 60")
     odd = spark.createDataFrame([(None, None, "en", "s", 0), (5000, "", "en", "s", 0), (5001, None, None, None, None)], good.schema)
     docs = written(good.unionByName(good.where("doc_id < 5")).unionByName(odd), "test-odd")
     for name, stage in corpus_pipeline.STAGES[:-1]:
