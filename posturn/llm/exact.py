@@ -124,7 +124,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                      F.col("own_chain").alias("chain"), F.col("chain").alias("whole"))
     named = index.drop("rep").join(merged, ["bucket", "h", "salt", "chain"], "left") \
         .withColumn("chain", F.coalesce("whole", "chain"))
-    groups = named.groupBy("h", "chain").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # Written, so that the join below reads plain exchanges and a hot group's rows can be split.
+    groups = written(named.groupBy("h", "chain").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+                     "exact-groups")
     return named.join(groups, ["h", "chain"]).select(
         "doc_id", "keep_id", "group_size",
         (F.col("first") & F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"), "sha256", "h", "chain")
