@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 
@@ -45,10 +46,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
+        self._path, self._tokenizer = path, None
         self._known = _Pieces(lambda piece: self._plain(piece))
         self._ranked = None
         ranks_path = re.sub(r"\.json$", ".tiktoken", path)
@@ -60,7 +58,8 @@ class WordEncoder:
                 ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
             self._ranked = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                              special_tokens={})
-        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            self._special = [t["content"] for t in json.load(f)["added_tokens"]]
 
     def _plain(self, text: str) -> bytes:
         if self._ranked is None:
@@ -68,6 +67,11 @@ class WordEncoder:
         return np.array(self._ranked.encode_ordinary(text), "<u4").tobytes()
 
     def _exact(self, text: str) -> bytes:
+        if self._tokenizer is None:  # large, and seldom needed beside the ranks
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._tokenizer = Tokenizer.from_file(self._path)
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
