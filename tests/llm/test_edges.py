@@ -374,6 +374,64 @@ def test_passages(spark, docs, empty):
     assert chains([(0, 0), (5, 5), (10, 10), (12, 1)])[0] == [(0, 0), (5, 5), (10, 10)]
 
 
+def edited(rng, words, passage, share):
+    """``passage`` with a share of its words changed, left out or preceded by a new one."""
+    out = list(passage)
+    for k in sorted(rng.choice(len(passage), round(share * len(passage)), replace=False), reverse=True):
+        out[k:k + 1] = [[rng.choice(words)], [], [rng.choice(words), out[k]]][rng.integers(3)]
+    return out
+
+
+def test_passages_recall(spark):
+    """Edited passages of 50 to 100 words, against brute force over the words that were planted."""
+    from posturn.llm.passages import repeated_passages
+
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(20000)]
+    filler = lambda n: list(rng.choice(words, n))
+    rows, want = [], set()
+    for k in range(300):
+        a = filler(50 + k % 51)
+        b = edited(rng, words, a, (0.05, 0.1, 0.15, 0.2)[k % 4])
+        rows += [(2 * k, filler(40) + a + filler(40)), (2 * k + 1, filler(60) + b + filler(20))]
+        # Common subsequence by the plain table, between the first and the last equal words.
+        first, last = [next(((i, j) for n in range(9) for i in range(n + 1) for j in [n - i] if x[i] == y[j]), (9, 9))
+                       for x, y in ((a, b), (a[::-1], b[::-1]))]
+        x, y = a[first[0]:len(a) - last[0]], b[first[1]:len(b) - last[1]]
+        table = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i, j in np.ndindex(len(x), len(y)):
+            table[i + 1, j + 1] = table[i, j] + 1 if x[i] == y[j] else max(table[i, j + 1], table[i + 1, j])
+        if min(len(x), len(y)) >= 50 and table[-1, -1] >= 0.8 * max(len(x), len(y)):
+            want.add((2 * k + 1, 2 * k))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = repeated_passages(df).collect()
+    found = {(r.doc_id, r.source_id) for r in got}
+    assert all(r.similarity >= 0.8 and min(r.n_words, r.source_words) >= 50 for r in got)
+    assert found <= {(2 * k + 1, 2 * k) for k in range(300)}
+    assert len(want) > 200 and len(want & found) >= 0.99 * len(want), (len(want), len(want & found))
+
+
+def test_passages_parts_and_ends(spark):
+    from posturn.llm.passages import repeated_passages
+
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(20000)]
+    filler = lambda n: list(rng.choice(words, n))
+    short, long, single = filler(52), filler(300), filler(60)
+    # One word in three stays in the middle of ``gap``: no seed there, and each side alone is too short.
+    gap = filler(130)
+    sparse = [w if not 49 <= k < 81 or k % 2 else filler(1)[0] for k, w in enumerate(gap)]
+    fifths = [filler(1)[0] if k % 5 == 0 and k != 30 else w for k, w in enumerate(single)]  # one run of five and more
+    texts = {1: filler(30) + short + filler(30), 2: filler(9) + short[:2] + ["new"] + short[3:49] + ["new"] + short[50:],
+             3: filler(30) + gap, 4: sparse + filler(30), 5: filler(30) + long, 6: long[:150] + filler(40) + long[150:],
+             7: single + filler(30), 8: filler(30) + fifths}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    found = {(r.doc_id, r.source_id): r for r in repeated_passages(df).collect()}
+    assert set(found) == {(2, 1), (4, 3), (6, 5), (8, 7)}
+    assert (found[2, 1].start_word, found[2, 1].n_words, found[2, 1].source_word) == (9, 52, 30)
+    assert found[4, 3].n_words == 130 and found[6, 5].n_words == 340
+
+
 def suffixes_by_sorting(text, cap):
     s = text.tolist()
     return [tuple(s[p:p + cap]) for p in sorted(range(len(s) - 1), key=lambda p: s[p:p + cap])]
