@@ -374,6 +374,35 @@ def test_passages(spark, docs, empty):
     assert chains([(0, 0), (5, 5), (10, 10), (12, 1)])[0] == [(0, 0), (5, 5), (10, 10)]
 
 
+def test_decontamination_without_the_last_sentence(spark):
+    from posturn.llm.decontam import leaks
+
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(400)]
+    filler = lambda n: " ".join(rng.choice(words, n))
+    item = ("When the river rose, twelve families crossed the old bridge at night while the miller counted nine "
+            "lanterns and his daughter held the lame horse. Horses.")
+    texts = [(1, filler(200) + " " + item.replace(" Horses.", "") + " " + filler(50)), (2, filler(60) + " " + item.replace("Horses", "Mules")),
+             (3, filler(40) + " " + " ".join(item.split()[:15])), (4, filler(9000))]
+    got = leaks(spark.createDataFrame(texts, "doc_id long, text string"),
+                spark.createDataFrame([(10, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got} == {1, 2} and all(r.lcs >= 0.8 and r.answer == 0 for r in got)
+
+
+def test_decontamination_recall_on_sampled_axes(spark, monkeypatch):
+    """200 items, more than the axes' rank, and axes fitted on a part of the blocks."""
+    from posturn.llm import decontam
+    from posturn.llm.common import table
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents").where("doc_id % 2 = 0")
+    bench = table(spark, "/root/testdata/sf0.1", "benchmark")
+    monkeypatch.setattr(decontam, "FIT_BLOCKS", 2000)
+    every = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench, exhaustive=True).collect()}
+    found = {(r.doc_id, r.item_id) for r in decontam.leaks(docs, bench).collect()}
+    print("recall on sampled axes:", len(found & every), "of", len(every), "items", bench.count())
+    assert bench.count() == 200 and found <= every and len(found) >= 0.9 * len(every) > 0
+
+
 def edited(rng, words, passage, share):
     """``passage`` with a share of its words changed, left out or preceded by a new one."""
     out = list(passage)
