@@ -48,11 +48,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted by scanning flat token streams for separators."""
-    from posturn.llm.token_counts import token_counts, write_streams
+    from posturn.llm.token_counts import OUTSIDE, token_counts, write_streams
 
     path = scratch_path(prepared(spark), "llm", f"tokens-{uuid.uuid4().hex}")
-    write_streams(table(spark, sf_dir, "documents"), path)
-    return token_counts(spark, path)
+    write_streams(table(spark, sf_dir, "documents"), path, end_id=OUTSIDE)
+    return token_counts(spark, path, OUTSIDE)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from posturn.llm.tokens import TOKENIZER, encoder
 
 END_OF_DOCUMENT = 50256
+#: The largest 16-bit id: outside the vocabulary, so any text can be written, one with ``<|endoftext|>`` in it too.
+OUTSIDE = 0xFFFF
 BLOCK_TOKENS = 1 << 18
 
 BLOCKS = "stream long, block long, tokens binary"

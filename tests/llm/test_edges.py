@@ -237,6 +237,15 @@ def test_token_counts_edges(spark, docs, empty, tmp_path):
     assert sorted((r.ordinal, r.n_tokens) for r in scan_separators(df).collect()) == [(0, 1), (1, 3), (2, 0), (3, 3)]
 
 
+def test_token_counts_with_the_end_of_text_literal(spark, tmp_path):
+    from posturn.llm.queries import op4_token_counts
+
+    texts = [(1, "a model ends with <|endoftext|> and goes on"), (2, "<|endoftext|>"), (3, "plain words"), (4, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.n_tokens for r in op4_token_counts(spark, str(tmp_path)).collect()}
+    assert got == {i: len(tokenized(t)) for i, t in texts} and got[2] == 1
+
+
 def test_url_edges(spark):
     from posturn.llm.urls import canonical, filter_urls
 
