@@ -102,3 +102,26 @@ def test_pipeline_edges(spark):
             texts = [r.text for r in docs.collect()]
             assert len(texts) == len(set(texts))  # of repeated rows one stays
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() > 0
+
+
+def test_pipeline_judges_rows_not_ids(spark):
+    """Clean rows whose null or repeated id a near copy or a leak has too stay; one row of each class stays."""
+    prepared(spark)
+    schema = table(spark, SF, "documents").schema
+    item = max((r.text for r in table(spark, SF, "benchmark").collect()), key=len)
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(200))
+    near = lambda n: text(n).upper()  # noqa: E731  # the same words: one class, and another text
+
+    def texts(stage, rows):
+        df = written(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema), "test-rows")
+        return sorted(((r.doc_id is None, r.doc_id, r.text) for r in written(stage(spark, df, SF), "test-rows").collect()), key=str)
+
+    def want(*rows):
+        return sorted(((i is None, i, t) for i, t in rows), key=str)
+
+    got = texts(corpus_pipeline.near_dedup, [(1, text(1)), (None, near(1)), (None, text(2)), (3, text(3)), (3, near(1)),
+                                             (None, text(4)), (None, near(4)), (5, text(5)), (5, text(5)), (6, text(6)), (4, near(6))])
+    assert [r[:2] for r in got] == [(False, 1), (False, 3), (False, 4), (False, 5), (True, None), (True, None)]
+    assert {r[2].lower() for r in got} == {text(n) for n in range(1, 7)}
+    got = texts(corpus_pipeline.decontaminate, [(None, item), (None, text(1)), (2, text(2)), (2, f"so {item}"), (3, text(9))])
+    assert got == want((None, text(1)), (2, text(2)), (3, text(9)))
