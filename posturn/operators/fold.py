@@ -4,12 +4,12 @@ The built-in turnover uses Spark aggregates.  For an arbitrary Python fold
 the same shape is kept as a two-level aggregation, so a hot key is never
 gathered into one task:
 
-1. ``mapInPandas``: every input partition folds its own rows into one
-   accumulator per (key, window) with ``builder`` and ``folder``;
+1. ``mapInPandas``: every input partition, sorted by (key, window), folds its own
+   rows into one accumulator per group with ``builder`` and ``folder``;
 2. one shuffle of those partial accumulators on (key, window);
-3. ``mapInPandas`` over the exchanged partials: the partials of a group (at
-   most one per input partition) are combined with ``merger``; one Python
-   call per task, not per group.
+3. ``mapInPandas`` over the exchanged partials, sorted again: the partials of a
+   group (at most one per input partition) are combined with ``merger``; one
+   Python call per task, not per group, and one accumulator held at a time.
 
 Accumulators are dicts whose fields follow ``acc_schema``.  Window bounds are
 computed JVM-side before any Python runs.
@@ -19,9 +19,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import datetime
+from decimal import ROUND_HALF_UP, Context, Decimal
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,49 +46,74 @@ def tumbling_fold(df: DataFrame, key: str, time_col: str, value_cols: list[str],
                                T.StructField("window_start", T.TimestampType()),
                                T.StructField("window_end", T.TimestampType()), *acc_schema.fields])
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        accs: dict[tuple, Acc] = {}
-        for pdf in batches:
-            for rec in pdf.to_dict("records"):
-                g = (rec["_key"], rec["window_start"], rec["window_end"])
-                accs[g] = folder(accs[g] if g in accs else builder(), rec)
-        if accs:
-            yield pd.DataFrame([{"_key": g[0], "window_start": g[1], "window_end": g[2],
-                                 **{f: a.get(f) for f in acc_fields}} for g, a in accs.items()])
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        accs: dict[tuple, Acc] = {}
-        for pdf in batches:
-            for rec in pdf.to_dict("records"):
-                g = (rec["_key"], rec["window_start"], rec["window_end"])
-                part = {f: rec[f] for f in acc_fields}
-                accs[g] = merger(accs[g], part) if g in accs else part
-        if accs:
-            yield pd.DataFrame([{"_key": g[0], "window_start": g[1], "window_end": g[2],
-                                 **{f: a.get(f) for f in acc_fields}} for g, a in accs.items()])
-
-    partials = rows.mapInPandas(partial, out_schema)
+    group = ["_key", "window_start", "window_end"]
+
+    def by_group(start: Callable[[dict], Acc], add: Callable[[Acc, dict], Acc]):
+        """Accumulators of sorted rows; one is held at a time, beside the finished ones of a batch."""
+        def row(g: tuple, acc: Acc) -> dict:
+            return {**dict(zip(group, g)), **{f: acc.get(f) for f in acc_fields}}
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            here, acc = None, None
+            for pdf in batches:
+                done = []
+                for rec in pdf.to_dict("records"):
+                    g = tuple(None if pd.isna(rec[c]) else rec[c] for c in group)
+                    if g == here:
+                        acc = add(acc, rec)
+                        continue
+                    if here is not None:
+                        done.append(row(here, acc))
+                    here, acc = g, start(rec)
+                if done:
+                    yield pd.DataFrame(done)
+            if here is not None:
+                yield pd.DataFrame([row(here, acc)])
+        return run
+
+    partial = by_group(lambda rec: folder(builder(), rec), folder)
+    merge = by_group(lambda rec: {f: rec[f] for f in acc_fields},
+                     lambda acc, rec: merger(acc, {f: rec[f] for f in acc_fields}))
+
+    partials = rows.sortWithinPartitions(*group).mapInPandas(partial, out_schema)
     # Hash exchange on the group: every group's partials meet in one task.
-    merged = partials.repartition("_key", "window_start", "window_end").mapInPandas(merge, out_schema)
+    merged = partials.repartition(*group).sortWithinPartitions(*group).mapInPandas(merge, out_schema)
     return merged.withColumnRenamed("_key", key)
 
 
 # --- The turnover accumulator expressed as a fold (used by the driver query) ----
 TURNOVER_ACC = T.StructType([
-    T.StructField("total_cents", T.LongType()),
+    T.StructField("total", T.DecimalType(38, 10)),
+    T.StructField("misfits", T.DoubleType()),
     T.StructField("min_us", T.LongType()),
     T.StructField("max_us", T.LongType()),
     T.StructField("n_events", T.LongType()),
 ])
 
 
+#: Amounts are added with ten decimals, as in ``functions.money``; what they cannot hold is added as a double.
+_UNIT, _EXACT = Decimal(1).scaleb(-10), Context(prec=60)
+
+
+def turnover_total() -> Column:
+    """The accumulator's unrounded sum, as DOUBLE; NULL without amounts."""
+    exact, misfits = F.col("total").cast("double"), F.col("misfits")
+    return F.when(misfits.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + misfits)
+
+
 def turnover_builder() -> Acc:
-    return {"total_cents": 0, "min_us": None, "max_us": None, "n_events": 0}
+    return {"total": None, "misfits": None, "min_us": None, "max_us": None, "n_events": 0}
 
 
 def turnover_folder(acc: Acc, row: dict) -> Acc:
     t = int(row["event_time_us"])
-    acc["total_cents"] += int(round(row["total_amount"] * 100))
+    amount = row["total_amount"]
+    if not pd.isna(amount):
+        if abs(amount) < 1e18:
+            unit = Decimal(repr(float(amount))).quantize(_UNIT, ROUND_HALF_UP, _EXACT)
+            acc["total"] = unit if pd.isna(acc["total"]) else _EXACT.add(acc["total"], unit)
+        else:
+            acc["misfits"] = amount if pd.isna(acc["misfits"]) else acc["misfits"] + amount
     acc["min_us"] = t if acc["min_us"] is None else min(acc["min_us"], t)
     acc["max_us"] = t if acc["max_us"] is None else max(acc["max_us"], t)
     acc["n_events"] += 1
@@ -101,7 +127,8 @@ def turnover_merger(a: Acc, b: Acc) -> Acc:
         if y is None or pd.isna(y):
             return x
         return f(x, y)
-    return {"total_cents": int(a["total_cents"]) + int(b["total_cents"]),
+    return {"total": pick(_EXACT.add, a["total"], b["total"]),
+            "misfits": pick(float.__add__, a["misfits"], b["misfits"]),
             "min_us": pick(min, a["min_us"], b["min_us"]),
             "max_us": pick(max, a["max_us"], b["max_us"]),
             "n_events": int(a["n_events"]) + int(b["n_events"])}

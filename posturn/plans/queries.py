@@ -228,14 +228,14 @@ def q_lag_histogram(spark: SparkSession, sf: str) -> DataFrame:
 # --- extension points -------------------------------------------------------------
 def q_generic_fold(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.fold import (TURNOVER_ACC, tumbling_fold, turnover_builder, turnover_folder,
-                                  turnover_merger)
+                                  turnover_merger, turnover_total)
     s = sales_events(spark, sf).withColumn("event_time_us", F.unix_micros("event_time"))
     folded = tumbling_fold(s, "store_id", "event_time", ["event_time_us", "total_amount"],
                            turnover_builder, turnover_folder, turnover_merger, TURNOVER_ACC)
     return folded.select(
         "store_id", iso_utc(F.col("window_start")).alias("window_start"),
         iso_utc(F.col("window_end")).alias("window_end"),
-        (F.col("total_cents") / 100).cast("double").alias("total_amount"), "n_events",
+        turnover_total().alias("total_amount"), "n_events",
         iso_utc(F.timestamp_micros("min_us")).alias("begin_stream_aggregator"),
         iso_utc(F.timestamp_micros("max_us")).alias("end_stream_aggregator"))
 

@@ -80,3 +80,17 @@ def test_chunked_prefix_scan_matches_brute_force(spark):
 
 def test_fixture_late_counts(spark):
     assert tag_late(sales_events(spark, SF001)).where("late").count() == 76
+
+
+def test_fold_adds_amounts_unrounded(spark):
+    from posturn.operators.fold import (TURNOVER_ACC, tumbling_fold, turnover_builder, turnover_folder,
+                                        turnover_merger, turnover_total)
+    rows = [(s, 1_700_000_000_000_000 + 20_000_000 * w, a) for w in range(3)
+            for s, a in [("s1", 0.004)] * 10 + [("s2", 1.005), ("s2", None), ("s3", 1e18), ("s3", 0.5), (None, 0.125)]]
+    df = spark.createDataFrame(rows, "store_id string, event_time_us long, total_amount double").repartition(4) \
+        .selectExpr("*", "timestamp_micros(event_time_us) AS event_time")
+    got = tumbling_fold(df, "store_id", "event_time", ["event_time_us", "total_amount"], turnover_builder,
+                        turnover_folder, turnover_merger, TURNOVER_ACC)
+    found = [(r[0], r[1], r[2]) for r in got.select("store_id", turnover_total(), "n_events").collect()]
+    want = [("s1", 0.04, 10), ("s2", 1.005, 2), ("s3", 1e18 + 0.5, 2), (None, 0.125, 1)] * 3
+    assert sorted(found, key=str) == sorted(want, key=str)
