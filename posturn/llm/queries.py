@@ -6,6 +6,7 @@ of its contract; ``ORACLE`` has the DuckDB SQL where SQL can express one.
 
 from __future__ import annotations
 
+import string
 import uuid
 from collections.abc import Callable
 
@@ -130,6 +131,59 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every whole text, and the bytes they decode to."""
+    from posturn.llm.byte_bpe import byte_bpe, encode
+
+    coded = encode(table(prepared(spark), sf_dir, "documents"), byte_bpe(), decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: ASCII white space, as the filters' words see it.
+WHITE = r"[\x20\x09-\x0D]+"
+
+
+def quality_filters() -> dict:
+    """The five audited filters, as failure conditions on a document's text."""
+    from posturn.llm.filter_audit import COPY_OF_EARLIER
+
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.array_remove(F.split(text, WHITE), "")
+    capitals = F.length(text) - F.length(F.translate(text, string.ascii_uppercase, ""))
+    return {"A": F.size(words) < 200,
+            "B": 100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
+            "C": 100 * capitals > 3 * F.length(text),
+            "D": text.rlike("[#$%&*|]"),
+            "E": COPY_OF_EARLIER}
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in every order of them, per language."""
+    from posturn.llm.filter_audit import audit
+
+    prepared(spark)
+    return audit(table(spark, sf_dir, "documents"), quality_filters(), table(spark, sf_dir, "labels"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of tokens of two vocabularies with common ends, and how usual their links are."""
+    from posturn.llm.alignment import align, link_scores
+
+    prepared(spark)
+    return link_scores(alignment_digest(align(table(spark, sf_dir, "documents"))))
+
+
+def alignment_digest(aligned: DataFrame) -> DataFrame:
+    def side(ids):
+        return F.array_join(ids.cast("array<string>"), ",")
+
+    groups = F.array_join(F.transform("groups", lambda g: F.concat(side(g["a"]), F.lit("|"), side(g["b"]))), ";")
+    return aligned.select("doc_id", "n_a", "n_b", F.size("groups").cast("long").alias("n_groups"),
+                          F.when(F.size("groups") == 0, "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"), "links")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_simhash": op2_simhash,
@@ -141,6 +195,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_passages": op9_passages,
     "op10_substrings": op10_substrings,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_alignment": op13_alignment,
 }
 
 _UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
@@ -184,4 +241,36 @@ select page_id, strlen(html)::bigint as payload_bytes,
   case when page_id = first_id then 'response' else 'revisit' end as record_type,
   case when page_id <> first_id then first_id end as refers_to
 from g""",
+    "op12_filter_audit": """
+with d as (select doc_id, coalesce(text, '') as t, coalesce(lang, '') as part from documents),
+w as (select *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as words,
+  length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) as caps,
+  min(doc_id) over (partition by t) as first_id from d),
+good as (select distinct doc_id from labels where quality = 1),
+bad as (select distinct doc_id from labels where toxic = 1),
+f as (select part, (len(words) < 200)::int as a, (100 * list_unique(words) < 50 * len(words))::int as b,
+  (100 * caps > 3 * length(t))::int as c, regexp_matches(t, '[#$%&*|]')::int as d, coalesce(doc_id > first_id, false)::int as e,
+  (doc_id in (select doc_id from good))::int as good, (doc_id in (select doc_id from bad))::int as toxic from w),
+g as (select part, a + 2 * b + 4 * c + 8 * d + 16 * e as fails, count(*) as n, sum(good) as good, sum(toxic) as toxic
+  from f group by all),
+p as (select a.x || b.x || c.x || d.x || e.x as filter_order
+  from (select unnest(['A', 'B', 'C', 'D', 'E']) as x) a, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) b,
+    (select unnest(['A', 'B', 'C', 'D', 'E']) as x) c, (select unnest(['A', 'B', 'C', 'D', 'E']) as x) d,
+    (select unnest(['A', 'B', 'C', 'D', 'E']) as x) e
+  where list_unique([a.x, b.x, c.x, d.x, e.x]) = 5),
+s as (select filter_order, k::int as step, substr(filter_order, k::int, 1) as letter,
+  (1 << instr('ABCDE', substr(filter_order, k::int, 1))::int) // 2 as bit,
+  coalesce(list_sum([(1 << instr('ABCDE', substr(filter_order, j::int, 1))::int) // 2 for j in range(1, k)]), 0)::int as before
+  from p, range(1, 6) r(k)),
+x as (select g.part, s.filter_order, s.step, s.letter, sum(case when fails & (before | bit) = 0 then n else 0 end) as kept,
+  sum(case when fails & bit > 0 and fails & before = 0 then n else 0 end) as removed,
+  sum(case when fails & bit > 0 and fails & before > 0 then n else 0 end) as redundant,
+  sum(case when fails = bit then n else 0 end) as unique_fails,
+  sum(case when fails & bit > 0 and fails & before = 0 then good else 0 end) as good_lost,
+  sum(case when fails & bit > 0 and fails & before = 0 then toxic else 0 end) as toxic_lost
+  from g, s group by all)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, letter))::bigint as shapley
+from x""",
 }

@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.01"
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
 
-    assert sorted(int(k[2:].split("_")[0]) for k in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in LLM_QUERIES) == list(range(1, 14))
     assert set(LLM_QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
