@@ -67,8 +67,10 @@ OUTCOME_SERVER_ERROR = "server_error"
 OUTCOME_REJECTED = "rejected"
 OUTCOME_UNPAID = "unpaid"
 OUTCOME_PUBLISHED = "published"
-# Quarantine reason of the aggregation stage.
+# Quarantine reasons of the aggregation stage.
 REASON_BAD_EVENT_TIME = "bad_event_time"
+REASON_NO_STORE = "missing_store"
+REASON_NO_TOTAL = "missing_total"
 REASON_MISSING_OR_WRONG_TYPE = "missing_or_wrong_type:"
 
 

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(28,10)"
+SCALE = 10
+MONEY = f"decimal(28,{SCALE})"
 
 
 def exact_amount(amount: Column) -> Column:
@@ -20,6 +21,17 @@ def exact_amount(amount: Column) -> Column:
     return amount.try_cast(MONEY)
 
 
+def amount_parts(amount: Column) -> tuple[Column, Column, Column]:
+    """DOUBLE amount as ``(whole, part, misfit)``: exactly whole units and the rest in the smallest decimals, both
+    BIGINT of the amount's sign, or a misfit DOUBLE where they cannot hold it.  The unused ones are zero."""
+    exact = exact_amount(amount)
+    whole = exact.cast("bigint")
+    part = ((exact - whole.cast("decimal(18,0)")) * F.lit(10 ** SCALE)).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    return (F.coalesce(whole, zero), F.coalesce(part, zero),
+            F.when(exact.isNull(), F.coalesce(amount, F.lit(0.0))).otherwise(F.lit(0.0)))
+
+
 def money_sum(amount: Column) -> Column:
     """Aggregate: unrounded sum of DOUBLE amounts, as DOUBLE; NULL without amounts."""
     exact = F.try_sum(exact_amount(amount)).cast("double")

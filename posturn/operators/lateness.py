@@ -38,6 +38,9 @@ def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
              initial_clock: DataFrame | None = None) -> DataFrame:
     """Add ``clock`` (max earlier event time of the key) and ``late`` (BOOLEAN).
 
+    A row without an event time is neither late nor on time (``late`` is NULL)
+    and moves no clock.
+
     ``initial_clock`` (columns ``key``, ``clock``) seeds each key's clock with
     what came before ``df`` -- the carry of earlier micro-batches.  It is
     joined to the chunk table, never to the rows.
@@ -58,7 +61,7 @@ def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
     tagged = (d.join(before, [key, "_chunk"], "left")
                .withColumn("clock", F.greatest(F.col("_before_chunk"), F.max(time_col).over(inner))))
     late = F.coalesce(F.col(time_col) < F.col("clock") - F.expr(f"INTERVAL {int(lateness_ms)} MILLISECONDS"),
-                      F.lit(False))
+                      F.col(time_col).isNull() & F.lit(None).cast("boolean"))
     return tagged.withColumn("late", late).drop("_chunk", "_before_chunk")
 
 

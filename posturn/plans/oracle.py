@@ -307,5 +307,22 @@ ORACLE["stream_strict_late_scan"] = ORACLE["late_split"]
 ORACLE["stream_chain"] = ORACLE["store_routes"]
 ORACLE["stream_generic_fold"] = ORACLE["turnover_10s"]
 ORACLE["stream_strict_turnover"] = ORACLE["turnover_on_time"]
+SALES_DAMAGED = """sales AS (
+  SELECT event_id, CASE WHEN event_id % 89 <> 0 THEN 'STORE_' || CAST(user_id % 10 + 1 AS VARCHAR) END AS store_id,
+         CASE WHEN event_id % 101 <> 0 AND event_id % 103 <> 0 THEN ts END AS event_time,
+         CASE WHEN event_id % 97 <> 0 THEN value END AS total_amount,
+         event_id + CASE WHEN event_id % 13 = 0 THEN 50 ELSE 0 END AS arrival_key
+  FROM events),
+reasoned AS (
+  SELECT *, CASE WHEN store_id IS NULL THEN 'missing_store' WHEN event_time IS NULL THEN 'bad_event_time'
+                 WHEN total_amount IS NULL THEN 'missing_total' END AS reason
+  FROM sales)"""
+SALES_APART = SALES.replace("ts AS event_time", "ts + to_days(CAST(user_id % 10 + 1 AS INTEGER) * 30) AS event_time")
+ORACLE["stream_unusable"] = with_(SALES_DAMAGED) + "SELECT event_id, reason FROM reasoned WHERE reason IS NOT NULL"
+ORACLE["stream_strict_apart"] = with_(SALES_APART, LATE, "ontime AS (SELECT * FROM tagged WHERE NOT late)") \
+    + turnover_sql("ontime")
+ORACLE["stream_strict_rejects"] = with_(SALES_DAMAGED, LATE.replace("FROM sales)", "FROM reasoned WHERE reason IS NULL)")) + """
+SELECT event_id, store_id, 'late' AS kind, NULL AS reason FROM tagged WHERE late
+UNION ALL SELECT event_id, store_id, 'unusable', reason FROM reasoned WHERE reason IS NOT NULL"""
 ORACLE["generic_fold"] = ORACLE["turnover_10s"]
 ORACLE["json_lookup"] = "SELECT p_name AS name, p_retailprice AS price FROM part"

@@ -72,8 +72,8 @@ ENVELOPE = T.StructType([
     T.StructField("headers", T.ArrayType(HEADER)),
 ])
 
-# Raw message landing schema (file twin of a broker source).
-RAW_MESSAGE = T.StructType([T.StructField("value", T.StringType())])
+# Landed messages (file twin of a broker topic).
+LANDING = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 # Lookup documents of the producer side.
 CATALOG_ITEM = T.StructType([T.StructField("name", T.StringType()), T.StructField("price", T.DoubleType())])

@@ -70,6 +70,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stateful(spark: SparkSession) -> SparkSession:
+    """The session with the state store that ``transformWithState`` needs; set before the query starts."""
+    for key in ("spark.sql.streaming.stateStore.providerClass",
+                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"):
+        spark.conf.set(key, DEFAULT_CONF[key])
+    return spark
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``posturn`` importable in the Python workers, once per application.
 

@@ -1,5 +1,5 @@
 """Writers: shared-storage tables, quarantine, envelopes and broker sinks."""
 
-from .tables import materialize, write_table
+from .tables import materialize, read_output, write_table
 
-__all__ = ["materialize", "write_table"]
+__all__ = ["materialize", "read_output", "write_table"]

@@ -58,6 +58,29 @@ def sales_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Damage rules of the sales feed (event_id modulus, residue), first match wins.
+NO_STORE_EVERY, NO_TOTAL_EVERY, BAD_TIME_EVERY, FAR_TIME_EVERY = 89, 97, 101, 103
+APART_DAYS = 30
+
+
+def damaged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of which some have no store, no amount, a garbage time or one at the end of all time."""
+    s = sales_events(spark, sf_dir)
+    k = F.col("event_id")
+    stamp = F.when(k % BAD_TIME_EVERY == 0, "garbage").when(k % FAR_TIME_EVERY == 0, "9999-12-31T00:00:00Z").otherwise(
+        F.col("timestamp"))
+    return s.withColumns({"store_id": F.when(k % NO_STORE_EVERY != 0, F.col("store_id")),
+                          "total_amount": F.when(k % NO_TOTAL_EVERY != 0, F.col("total_amount")), "timestamp": stamp})
+
+
+def apart(sales: DataFrame) -> DataFrame:
+    """Sales with every store's times moved by its number of months of 30 days, in unchanged arrival order."""
+    n = F.regexp_extract("store_id", r"\d+", 0).cast("int")
+    moved = F.timestamp_micros(F.unix_micros("event_time") + n * F.lit(APART_DAYS * 86_400_000_000))
+    return sales.withColumn("event_time", moved).withColumn(
+        "timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+
+
 def _map_col(mapping: dict[str, str], col: Column) -> Column:
     expr = None
     for k, v in mapping.items():
@@ -134,10 +157,11 @@ TXN_JSON_FIELDS = ["transaction_id", "timestamp", "store_id", "cashier_id", "ite
                    "payment_method", "payment_status", "customer_id", "loyalty_points_earned", "receipt"]
 
 
-def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw JSON transactions: columns ``o_orderkey`` (arrival order) and ``value``."""
+def transaction_feed(spark: SparkSession, sf_dir: str, sent_at: bool = False) -> DataFrame:
+    """Raw JSON transactions: ``o_orderkey`` (arrival order), ``value`` and, if asked for, ``sent_at`` (event time text)."""
     rows = transaction_rows(spark, sf_dir)
-    return rows.select("o_orderkey", F.to_json(F.struct(*TXN_JSON_FIELDS)).alias("value"))
+    extra = [F.col("timestamp").alias("sent_at")] if sent_at else []
+    return rows.select("o_orderkey", *extra, F.to_json(F.struct(*TXN_JSON_FIELDS)).alias("value"))
 
 
 # --- Fixed values: damage rules of the noisy feed (first matching rule wins) --
@@ -172,9 +196,9 @@ def noise_kind(k: Column) -> Column:
     return expr
 
 
-def noisy_transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transaction feed with rule-based damage; columns o_orderkey, noise, value."""
-    feed = transaction_feed(spark, sf_dir)
+def noisy_transaction_feed(spark: SparkSession, sf_dir: str, sent_at: bool = False) -> DataFrame:
+    """Transaction feed with rule-based damage; columns o_orderkey, noise, value (and ``sent_at``, undamaged)."""
+    feed = transaction_feed(spark, sf_dir, sent_at)
     k = F.col("o_orderkey")
     v = F.col("value")
     kind = noise_kind(k)
@@ -204,4 +228,4 @@ def noisy_transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "padded_store_id", F.regexp_replace(v, r'"store_id":"STORE_([0-9]+)"', '"store_id":"STORE_0$1"'))
         .otherwise(v)
     )
-    return feed.select("o_orderkey", kind.alias("noise"), damaged.alias("value"))
+    return feed.select("o_orderkey", *(["sent_at"] if sent_at else []), kind.alias("noise"), damaged.alias("value"))

@@ -26,6 +26,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from .. import config as C
 from ..operators.fold import Acc
 from ..operators.turnover import tumbling_window
+from .closing import before_close
 
 
 def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: list[str],
@@ -36,7 +37,9 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
     """Fold ``value_cols`` per (key, tumbling window) of a streaming DataFrame.
 
     Output columns: ``key``, window_start, window_end and the accumulator
-    fields, appended once per window after it closes.
+    fields, appended once per window after it closes.  A row whose time is
+    ``CLOSE_TIME`` moves the watermark and is not folded; one without a time is
+    in no window.
     """
     w = tumbling_window(F.col(time_col), length_seconds, align_to)
     # Window bounds travel as epoch microseconds: no time-zone conversion in
@@ -44,7 +47,7 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
     # The window end, not the row's own time, is what lateness is judged by; it
     # carries the watermark's mark, and the time column travels without it.
     delay = {"spark.watermarkDelayMs": int(lateness_ms)}
-    rows = (df.withWatermark(time_col, f"{int(lateness_ms)} milliseconds")
+    rows = (before_close(df.withWatermark(time_col, f"{int(lateness_ms)} milliseconds"), time_col)
               .select(F.col(key).alias("_key"), F.unix_micros(w.start).alias("_ws"),
                       F.unix_micros(w.end).alias("_we"),
                       F.timestamp_micros(F.unix_micros(w.end)).alias("_close", metadata=delay),

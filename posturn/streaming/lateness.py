@@ -22,7 +22,6 @@ output.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +32,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
 from ..operators.lateness import DEFAULT_CHUNK_SPAN, tag_late
+from .sources import epoch_dir
 
 TAG_SCHEMA = ("store_id string, event_id long, event_time_us long, total_amount double, "
               "arrival_key long, late boolean")
@@ -65,23 +65,14 @@ def strict_late_tags(sales: DataFrame, lateness_ms: int = C.ALLOWED_LATENESS_MS)
     """Streaming sales -> the same rows with a per-store strict ``late`` tag.
 
     Input columns: store_id, event_id, event_time (TIMESTAMP), total_amount,
-    arrival_key.
+    arrival_key.  A row without an event time is neither late nor on time: its
+    tag is NULL, and it moves no clock.
     """
     prepared = sales.select("store_id", "event_id", F.unix_micros("event_time").alias("event_time_us"),
                             "total_amount", "arrival_key")
-    return prepared.groupBy("store_id").applyInPandasWithState(
+    tagged = prepared.where("event_time_us is not null").groupBy("store_id").applyInPandasWithState(
         _tagger(int(lateness_ms) * 1000), TAG_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
-
-
-def strict_on_time(sales: DataFrame, lateness_ms: int = C.ALLOWED_LATENESS_MS) -> DataFrame:
-    """Rows the strict clock keeps, with ``event_time`` restored and a watermark set."""
-    tagged = strict_late_tags(sales, lateness_ms)
-    kept = tagged.where(~F.col("late")).withColumn("event_time", F.timestamp_micros("event_time_us"))
-    return kept.withWatermark("event_time", f"{int(lateness_ms)} milliseconds")
-
-
-def _epoch_dir(root: str, name: str, epoch_id: int) -> str:
-    return os.path.join(root, name, f"batch_id={epoch_id}")
+    return tagged.unionByName(prepared.where("event_time_us is null").withColumn("late", F.lit(None).cast("boolean")))
 
 
 def strict_late_scan_writer(out_root: str, lateness_ms: int = C.ALLOWED_LATENESS_MS, key: str = "store_id",
@@ -97,15 +88,15 @@ def strict_late_scan_writer(out_root: str, lateness_ms: int = C.ALLOWED_LATENESS
     """
     def write(batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
-        carry = spark.read.parquet(_epoch_dir(out_root, "clocks", epoch_id - 1)) if epoch_id > 0 else None
+        carry = spark.read.parquet(epoch_dir(out_root, "clocks", epoch_id - 1)) if epoch_id > 0 else None
         tagged = tag_late(batch_df, key=key, time_col=time_col, arrival_col=arrival_col, tie_col=tie_col,
                           lateness_ms=lateness_ms, chunk_span=chunk_span, initial_clock=carry)
-        target = _epoch_dir(out_root, "tagged", epoch_id)
+        target = epoch_dir(out_root, "tagged", epoch_id)
         tagged.write.mode("overwrite").parquet(target)
         seen = spark.read.parquet(target).groupBy(key).agg(F.max(time_col).alias("clock"))
         if carry is not None:
             seen = carry.unionByName(seen).groupBy(key).agg(F.max("clock").alias("clock"))
-        seen.write.mode("overwrite").parquet(_epoch_dir(out_root, "clocks", epoch_id))
+        seen.write.mode("overwrite").parquet(epoch_dir(out_root, "clocks", epoch_id))
     return write
 
 
