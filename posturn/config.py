@@ -62,11 +62,13 @@ MSG_AGG_ACCEPTED = "Aggregated data received successfully."
 ENVELOPE_HEADERS = (("application", "json"),)
 
 # --- Outcomes of the validation stage ----------------------------------------
+OUTCOME_ACCEPTED = "accepted"
 OUTCOME_MALFORMED = "malformed"
 OUTCOME_SERVER_ERROR = "server_error"
 OUTCOME_REJECTED = "rejected"
 OUTCOME_UNPAID = "unpaid"
 OUTCOME_PUBLISHED = "published"
+OUTCOMES = (OUTCOME_PUBLISHED, OUTCOME_UNPAID, OUTCOME_REJECTED, OUTCOME_SERVER_ERROR, OUTCOME_MALFORMED)
 # Quarantine reasons of the aggregation stage.
 REASON_BAD_EVENT_TIME = "bad_event_time"
 REASON_NO_STORE = "missing_store"

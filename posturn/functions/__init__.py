@@ -2,12 +2,12 @@
 
 from .ids import canonical_uuid, deterministic_uuid, is_uuid_text
 from .money import exact_amount, money_sum, py_float_text
-from .timefmt import iso_utc, iso_z, parse_event_time
+from .timefmt import iso_utc, parse_event_time
 from .topics import topic_level, topic_matches, topic_regex
 
 __all__ = [
     "canonical_uuid", "deterministic_uuid", "is_uuid_text",
     "exact_amount", "money_sum", "py_float_text",
-    "iso_utc", "iso_z", "parse_event_time",
+    "iso_utc", "parse_event_time",
     "topic_level", "topic_matches", "topic_regex",
 ]

@@ -20,19 +20,19 @@ _INTEGER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
 _NUMBER_TYPES = _INTEGER_TYPES + ("DOUBLE", "FLOAT", "BOOLEAN")
 
 
-_END = "end of message"
-
-
 def parse_single_json(text: Column) -> Column:
     """The VARIANT of a text that is one JSON value and nothing more, else NULL.
 
     The parser stops after the first value and ignores what follows.  So the
-    text is parsed as the first of two array elements: anything after it breaks
-    the array or keeps the end mark from being the second element.
+    text is parsed as the first of two array elements, the second being an end
+    mark: anything after the value breaks the array or takes the mark's place.
+    The mark is the text's own MD5, which no text can hold, so a sender cannot
+    put it there.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')))
+    end = F.md5(text)
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), end, F.lit('"]')))
     mark = F.try_variant_get(wrapped, "$[1]", "string")
-    return F.when(mark == _END, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.when(mark == end, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def is_json_object(v: Column) -> Column:

@@ -39,8 +39,3 @@ def iso_utc(ts: Column) -> Column:
     fraction = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return F.when(ts.isNull(), F.lit(None).cast("string")).when(
         F.unix_micros(ts) % 1_000_000 == 0, whole).otherwise(fraction)
-
-
-def iso_z(ts: Column) -> Column:
-    """TIMESTAMP -> ``YYYY-MM-DDTHH:MM:SS.ffffffZ`` (fixture message format)."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -6,7 +6,7 @@ from .metrics import lag_histogram, observe_progress, outcome_counts
 from .route import (aggregate_envelopes, parse_topic, route_to_stores, store_queue, subscribe,
                     transaction_envelopes)
 from .turnover import format_aggregated_event, merge_turnover, tumbling_window, turnover
-from .validate import validate_aggregates, validate_transactions, validation_response
+from .validate import validate_aggregates, validate_transactions
 
 __all__ = [
     "basket_fold", "basket_sum", "correct_totals", "payment_gate",
@@ -15,5 +15,5 @@ __all__ = [
     "aggregate_envelopes", "parse_topic", "route_to_stores", "store_queue", "subscribe",
     "transaction_envelopes",
     "format_aggregated_event", "merge_turnover", "tumbling_window", "turnover",
-    "validate_aggregates", "validate_transactions", "validation_response",
+    "validate_aggregates", "validate_transactions",
 ]

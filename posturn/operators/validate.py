@@ -31,11 +31,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.ids import canonical_uuid, is_uuid_text
-from ..functions.jsonv import JType, get_double, get_string, json_type, parse_single_json, python_str, with_parsed_json
+from ..functions.jsonv import JType, get_double, get_string, json_type, parse_single_json, python_str
 from ..schemas import RECEIPT_FIELDS, TRANSACTION_FIELDS
+from .rules import CASHIER_RE, STORE_RE
 
-_STORE_RE = r"\ASTORE_0*([1-9]|10)\z"
-_CASHIER_RE = r"\ACASHIER_0*[1-8]\z"
 _INT_TEXT_RE = r"\A\s*[+-]?[0-9]+\s*\z"
 
 
@@ -110,8 +109,8 @@ _TYPED = ("struct<transaction_id string, timestamp string, store_id string, cash
 def _rule_message(store: Column, cashier: Column, total: Column, method: Column, status: Column,
                   method_text: Column, status_text: Column) -> Column:
     """First failing transaction rule on well-typed values (NULL: all pass)."""
-    return (F.when(~F.coalesce(store.rlike(_STORE_RE), F.lit(False)), F.lit(C.MSG_STORE))
-            .when(~F.coalesce(cashier.rlike(_CASHIER_RE), F.lit(False)), F.lit(C.MSG_CASHIER))
+    return (F.when(~F.coalesce(store.rlike(STORE_RE), F.lit(False)), F.lit(C.MSG_STORE))
+            .when(~F.coalesce(cashier.rlike(CASHIER_RE), F.lit(False)), F.lit(C.MSG_CASHIER))
             .when(total <= 0, F.lit(C.MSG_TOTAL))
             .when(~F.coalesce(method.isin(*C.PAYMENT_METHODS), F.lit(False)),
                   F.concat(F.lit(C.MSG_METHOD), method_text))
@@ -226,9 +225,9 @@ def _slow_stages(vc: Column) -> list[dict[str, Column]]:
     status_ok = t["payment_status"].is_str & F.coalesce(status.isin(*C.PAYMENT_STATUSES), F.lit(False))
     first_rule = F.coalesce(
         F.when(~t["store_id"].is_str, step("crash", "store_id")),
-        F.when(~F.coalesce(store.rlike(_STORE_RE), F.lit(False)), step("fail", C.MSG_STORE)),
+        F.when(~F.coalesce(store.rlike(STORE_RE), F.lit(False)), step("fail", C.MSG_STORE)),
         F.when(~t["cashier_id"].is_str, step("crash", "cashier_id")),
-        F.when(~F.coalesce(cashier.rlike(_CASHIER_RE), F.lit(False)), step("fail", C.MSG_CASHIER)),
+        F.when(~F.coalesce(cashier.rlike(CASHIER_RE), F.lit(False)), step("fail", C.MSG_CASHIER)),
         F.when(~t["total_amount"].is_num, step("crash", "total_amount")),
         F.when(total <= 0, step("fail", C.MSG_TOTAL)),
         F.when(~method_ok, step("fail", F.concat(F.lit(C.MSG_METHOD),
@@ -314,17 +313,6 @@ def _slow_stages(vc: Column) -> list[dict[str, Column]]:
     ]
 
 
-def validation_response(df: DataFrame) -> DataFrame:
-    """Per-message response projection (acknowledgement or error body)."""
-    accepted = F.col("outcome") == "accepted"
-    return df.select(
-        F.when(accepted, F.lit(C.STATUS_SUCCESS)).otherwise(F.lit(C.STATUS_ERROR)).alias("status"),
-        F.when(accepted, F.col("txn.transaction_id")).alias("transaction_id"),
-        F.when(accepted, F.lit(C.MSG_TXN_ACCEPTED)).otherwise(F.lit(C.MSG_REQUEST_FAILED)).alias("message"),
-        "errors",
-    )
-
-
 def validate_aggregates(df: DataFrame) -> DataFrame:
     """Rule VAL-A1 on AggregatedEvent rows: the total must be positive.
 
@@ -338,39 +326,3 @@ def validate_aggregates(df: DataFrame) -> DataFrame:
         "errors": F.when(ok, F.array().cast("array<string>"))
                    .otherwise(F.array(_value_error("body", C.MSG_TOTAL))),
     })
-
-
-def rule_flags(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Each named rule evaluated on its own (no short-circuit), as booleans.
-
-    A rule whose input is absent or of the wrong type evaluates to false.  An
-    empty basket satisfies the line rules.
-    """
-    vc = F.col("_v")
-    out = with_parsed_json(df, value_col)
-    t = {f: JType(json_type(vc, f"$.{f}")) for f in TRANSACTION_FIELDS}
-
-    def ok(c: Column) -> Column:
-        return F.coalesce(c, F.lit(False)) & F.col("_is_obj")
-
-    def line_ok(x: Column) -> Column:
-        return F.coalesce((get_double(x, "$.quantity") > 0) & (get_double(x, "$.price_per_unit") > 0)
-                          & (get_double(x, "$.total_price") > 0)
-                          & JType(json_type(x, "$.quantity")).is_num
-                          & JType(json_type(x, "$.price_per_unit")).is_num
-                          & JType(json_type(x, "$.total_price")).is_num, F.lit(False))
-
-    items = F.try_variant_get(vc, "$.items", "array<variant>")
-    out = out.withColumns({
-        "store_ok": ok(t["store_id"].is_str & get_string(vc, "$.store_id").rlike(_STORE_RE)),
-        "cashier_ok": ok(t["cashier_id"].is_str & get_string(vc, "$.cashier_id").rlike(_CASHIER_RE)),
-        "total_ok": ok(t["total_amount"].is_num & (get_double(vc, "$.total_amount") > 0)),
-        "method_ok": ok(t["payment_method"].is_str
-                        & get_string(vc, "$.payment_method").isin(*C.PAYMENT_METHODS)),
-        "status_ok": ok(t["payment_status"].is_str
-                        & get_string(vc, "$.payment_status").isin(*C.PAYMENT_STATUSES)),
-        "items_ok": ok(t["items"].is_arr & F.forall(items, line_ok)),
-        "receipt_ok": ok(JType(json_type(vc, "$.receipt.total_amount")).is_num
-                         & (get_double(vc, "$.receipt.total_amount") > 0)),
-    })
-    return out.drop("_v", "_is_obj")

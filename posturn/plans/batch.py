@@ -16,32 +16,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.binding import bind
 from ..functions.timefmt import parse_event_time
-from ..sinks.tables import materialize
 from ..operators.correct import correct_totals, payment_gate
-from ..operators.route import aggregate_envelopes, route_to_stores, transaction_envelopes
+from ..operators.route import aggregate_envelopes, route_to_stores
 from ..operators.turnover import format_aggregated_event, turnover
 from ..operators.validate import validate_aggregates, validate_transactions
 
 
 def validate_stage(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Stage A: every input row with its final ``outcome``, ``errors`` and ``txn``."""
-    v = validate_transactions(raw, value_col)
-    return payment_gate(correct_totals(v))
+    """Stage A: every input row with its final ``outcome``, ``errors`` and ``txn``.
 
-
-def materialize_validated(spark, validated: DataFrame, name: str = "validated",
-                          value_col: str = "value") -> DataFrame:
-    """Write the validated rows once, partitioned by ``outcome``, and read them back.
-
-    Consumers of one outcome read one partition directory; the validation
-    expressions are evaluated exactly once per message.  The raw text is kept
-    only for refused rows (the quarantine needs it); accepted rows carry the
-    typed record, from which every envelope is rebuilt.
+    Narrow and lazy.  The result is bound, so a filter on ``outcome`` or a
+    projection of ``txn`` reads it instead of validating again.
     """
-    refused = F.col("outcome").isin(C.OUTCOME_MALFORMED, C.OUTCOME_SERVER_ERROR, C.OUTCOME_REJECTED)
-    slim = validated.withColumn(value_col, F.when(refused, F.col(value_col)))
-    return materialize(spark, slim, name, partition_by=("outcome",))
+    v = payment_gate(correct_totals(validate_transactions(raw, value_col)))
+    return bind(v, {c: F.col(c) for c in ("outcome", "errors", "txn", "original_total", "corrected")})
 
 
 def published(validated: DataFrame) -> DataFrame:
@@ -82,7 +72,3 @@ def publish_aggregates_stage(aggregated: DataFrame) -> DataFrame:
     checked = validate_aggregates(aggregated)
     ok = checked.where(F.col("status") == C.STATUS_SUCCESS)
     return route_to_stores(aggregate_envelopes(ok, require_key=False))
-
-
-def publish_transactions_stage(validated: DataFrame) -> DataFrame:
-    return transaction_envelopes(published(validated))

@@ -145,7 +145,12 @@ NOISE_CASE = """CASE WHEN o_orderkey % 137 = 9 THEN 'truncated'
   WHEN o_orderkey % 157 = 13 THEN 'loyalty_as_text'
   WHEN o_orderkey % 163 = 14 THEN 'uuid_simple_upper'
   WHEN o_orderkey % 167 = 15 THEN 'uuid_invalid'
-  WHEN o_orderkey % 191 = 18 THEN 'padded_store_id' END"""
+  WHEN o_orderkey % 191 = 18 THEN 'padded_store_id'
+  WHEN o_orderkey % 193 = 19 THEN 'forged_end'
+  WHEN o_orderkey % 197 = 20 THEN 'forged_array_end'
+  WHEN o_orderkey % 199 = 21 THEN 'nonpositive_total'
+  WHEN o_orderkey % 211 = 22 THEN 'negative_line_total' END"""
+_MALFORMED = "('truncated', 'trailing_garbage', 'json_null', 'json_array', 'forged_end', 'forged_array_end')"
 
 NOISY = f"""n0 AS (
   SELECT *, {NOISE_CASE} AS noise FROM fc),
@@ -157,11 +162,11 @@ n1 AS (
   FROM n0),
 n2 AS (
   SELECT *,
-    CASE WHEN noise IN ('truncated', 'trailing_garbage', 'json_null', 'json_array') THEN 'M'
+    CASE WHEN noise IN {_MALFORMED} THEN 'M'
          WHEN NOT {_STORE_OK.format(s='store_id2')} THEN 'R{C.MSG_STORE}'
          WHEN NOT {_CASHIER_OK} THEN 'R{C.MSG_CASHIER}'
          WHEN noise = 'total_as_string' THEN 'Stotal_amount'
-         WHEN total_amount <= 0 THEN 'R{C.MSG_TOTAL}'
+         WHEN total_amount <= 0 OR noise = 'nonpositive_total' THEN 'R{C.MSG_TOTAL}'
          WHEN NOT {_METHOD_OK} THEN 'R{C.MSG_METHOD}' || coalesce(payment_method, 'None')
          WHEN NOT {_STATUS_OK} THEN 'R{C.MSG_STATUS}' || coalesce(payment_status, 'None')
          WHEN noise = 'items_not_objects' THEN 'Sitems'
@@ -174,6 +179,8 @@ n2 AS (
              THEN 'Field ''0'' validation failed: Value error, {C.MSG_QUANTITY}'
            WHEN n_lines > 0 AND noise = 'negative_unit_price'
              THEN 'Field ''0'' validation failed: Value error, {C.MSG_PRICE}'
+           WHEN n_lines > 0 AND noise = 'negative_line_total'
+             THEN 'Field ''0'' validation failed: Value error, {C.MSG_LINE_TOTAL}'
            WHEN n_lines > 0 AND noise = 'fractional_quantity'
              THEN 'Field ''quantity'' validation failed: {C.MSG_INT_FRACTION}' END,
       CASE WHEN noise = 'customer_as_number' THEN 'Field ''customer_id'' validation failed: {C.MSG_STRING}' END,
@@ -224,11 +231,54 @@ SELECT total_amount, event_id, store_id, begin_stream_aggregator, end_stream_agg
     "turnover_on_time": with_(SALES, LATE, "ontime AS (SELECT * FROM tagged WHERE NOT late)")
     + turnover_sql("ontime"),
     "json_parse_outcomes": with_(FIXTURE, NOISY) + "SELECT o_orderkey, noise, outcome, errors_text FROM nx",
-    "rule_outcomes": with_(FIXTURE) + f"""
-SELECT o_orderkey, {_STORE_OK.format(s='store_id')} AS store_ok, {_CASHIER_OK} AS cashier_ok,
-       total_amount > 0 AS total_ok, {_METHOD_OK} AS method_ok, {_STATUS_OK} AS status_ok,
-       lines_ok AS items_ok, NOT bad_receipt AND total_amount > 0 AS receipt_ok
-FROM fc""",
+    "rule_outcomes": with_(FIXTURE, NOISY) + f"""
+SELECT o_orderkey,
+       o AND {_STORE_OK.format(s='store_id2')} AS store_ok, o AND {_CASHIER_OK} AS cashier_ok,
+       o AND total_amount > 0 AND k NOT IN ('total_as_string', 'nonpositive_total') AS total_ok,
+       o AND {_METHOD_OK} AS method_ok, o AND {_STATUS_OK} AS status_ok,
+       o AND k <> 'items_not_objects' AND NOT (n_lines > 0 AND k = 'zero_quantity') AS quantity_ok,
+       o AND k <> 'items_not_objects' AND NOT (n_lines > 0 AND k = 'negative_unit_price') AS price_ok,
+       o AND k <> 'items_not_objects' AND NOT (n_lines > 0 AND k = 'negative_line_total') AS line_total_ok,
+       o AND NOT bad_receipt AND total_amount > 0 AND k <> 'receipt_not_object' AS receipt_ok,
+       o AND k NOT IN ('items_not_objects', 'receipt_not_object', 'missing_timestamp') AS present_ok,
+       o AND k <> 'uuid_invalid' AS uuid_ok,
+       o AND k NOT IN ('total_as_string', 'items_not_objects', 'receipt_not_object', 'customer_as_number')
+         AND NOT (n_lines > 0 AND k = 'fractional_quantity') AS types_ok
+FROM (SELECT *, coalesce(noise, '') AS k, coalesce(noise NOT IN {_MALFORMED}, true) AS o FROM nx) x""",
+    "agg_body_validation": with_(SALES, SALES_AGG) + f"""
+SELECT store_id, {iso('make_timestamp(ws)')} AS window_start, noise,
+       CASE WHEN noise = 'truncated' THEN 'malformed' WHEN noise IN ('missing_total', 'total_as_text') THEN 'server_error'
+            WHEN errors = '' THEN 'accepted' ELSE 'rejected' END AS outcome,
+       errors AS errors_text,
+       CASE WHEN errors = '' THEN event_id END AS event_id,
+       CASE WHEN errors = '' THEN CASE WHEN noise = 'total_as_true' THEN 1.0 ELSE total_amount END END AS total_amount
+FROM (
+  SELECT *, CASE
+      WHEN noise = 'truncated' THEN 'Field ''body'' validation failed: {C.MSG_JSON}'
+      WHEN noise IN ('missing_total', 'total_as_text') THEN '{C.REASON_MISSING_OR_WRONG_TYPE}total_amount'
+      WHEN noise = 'nonpositive_total' OR (total_amount <= 0 AND noise IS DISTINCT FROM 'total_as_true')
+        THEN 'Field ''body'' validation failed: Value error, {C.MSG_TOTAL}'
+      WHEN noise = 'bad_uuid' THEN 'Field ''event_id'' validation failed: {C.MSG_UUID}'
+      WHEN noise = 'uuid_as_number' THEN 'Field ''event_id'' validation failed: {C.MSG_UUID_TYPE}'
+      WHEN noise = 'missing_store' THEN 'Field ''store_id'' validation failed: {C.MSG_REQUIRED}'
+      WHEN noise = 'store_as_number' THEN 'Field ''store_id'' validation failed: {C.MSG_STRING}'
+      WHEN noise = 'null_end' THEN 'Field ''end_stream_aggregator'' validation failed: {C.MSG_STRING}'
+      WHEN noise = 'two_errors' THEN 'Field ''event_id'' validation failed: {C.MSG_UUID} | '
+        'Field ''begin_stream_aggregator'' validation failed: {C.MSG_REQUIRED}'
+      ELSE '' END AS errors
+  FROM (
+    SELECT *, CASE WHEN k % 31 = 1 THEN 'missing_total' WHEN k % 37 = 2 THEN 'total_as_text'
+      WHEN k % 41 = 3 THEN 'nonpositive_total' WHEN k % 43 = 4 THEN 'bad_uuid' WHEN k % 47 = 5 THEN 'uuid_as_number'
+      WHEN k % 53 = 6 THEN 'missing_store' WHEN k % 59 = 7 THEN 'store_as_number' WHEN k % 61 = 8 THEN 'null_end'
+      WHEN k % 67 = 9 THEN 'two_errors' WHEN k % 71 = 10 THEN 'truncated' WHEN k % 73 = 11 THEN 'total_as_true'
+      WHEN k % 79 = 12 THEN 'uuid_braced' END AS noise
+    FROM (SELECT *, ws // 10000000 + CAST(substr(store_id, 7) AS BIGINT) AS k FROM sagg) a) b) c""",
+    "progress_counts": with_(FIXTURE, NOISY) + """
+SELECT counter, n FROM (
+  SELECT 'rows' AS counter, count(*) AS n FROM nx UNION ALL
+  SELECT o, count(outcome) FROM unnest(['published', 'unpaid', 'rejected', 'server_error', 'malformed']) u(o)
+    LEFT JOIN nx ON outcome = o GROUP BY o) c""",
+    "string_lookup": "SELECT DISTINCT o_orderpriority AS name FROM orders",
     "validation_errors": with_(FIXTURE, CLEAN) + "SELECT o_orderkey, outcome, n_errors, errors_text FROM ox",
     "rejects": with_(FIXTURE, NOISY) + """
 SELECT o_orderkey, outcome AS reject_stage, errors_text FROM nx
@@ -324,5 +374,12 @@ ORACLE["stream_strict_apart"] = with_(SALES_APART, LATE, "ontime AS (SELECT * FR
 ORACLE["stream_strict_rejects"] = with_(SALES_DAMAGED, LATE.replace("FROM sales)", "FROM reasoned WHERE reason IS NULL)")) + """
 SELECT event_id, store_id, 'late' AS kind, NULL AS reason FROM tagged WHERE late
 UNION ALL SELECT event_id, store_id, 'unusable', reason FROM reasoned WHERE reason IS NOT NULL"""
+ORACLE["stream_progress"] = ORACLE["progress_counts"]
+ORACLE["topic_replay"] = with_(FIXTURE, NOISY) + f"""
+SELECT '{P}/receipt/' || store_id2 || '/' || cashier_id || '/' || payment_method || '/' || payment_status || '/' ||
+       CASE WHEN noise = 'garbage_timestamp' THEN 'garbage' ELSE ts_text END || '/' || transaction_id2 || '/' ||
+       CAST(final_total AS VARCHAR) || '/' || receipt_id || '/' || customer_id AS topic,
+       transaction_id2 AS key, 'application=json' AS header, store_id2 AS payload_store_id
+FROM nx WHERE outcome = 'published'"""
 ORACLE["generic_fold"] = ORACLE["turnover_10s"]
 ORACLE["json_lookup"] = "SELECT p_name AS name, p_retailprice AS price FROM part"

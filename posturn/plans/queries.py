@@ -18,11 +18,12 @@ from .. import config as C
 from ..functions.timefmt import iso_utc, parse_event_time
 from ..operators.correct import basket_sum
 from ..operators.lateness import on_time, tag_late
-from ..operators.metrics import lag_histogram, outcome_counts
+from ..operators.metrics import lag_histogram, observe_progress, outcome_counts
 from ..operators.route import aggregate_envelopes, parse_topic, subscribe, transaction_envelopes
 from ..operators.turnover import format_aggregated_event, merge_turnover, turnover
-from ..operators.validate import rule_flags, validate_aggregates
-from ..sources.fixtures import noisy_transaction_feed, sales_events, transaction_feed
+from ..operators.rules import rule_flags, validate_aggregate_messages
+from ..operators.validate import validate_aggregates
+from ..sources.fixtures import aggregate_bodies, noisy_transaction_feed, sales_events, transaction_feed
 from ..sources.tables import read_table
 from . import batch
 
@@ -83,13 +84,12 @@ def q_turnover_on_time(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- validation stage -----------------------------------------------------------
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
-    """Validated clean feed, written once partitioned by outcome."""
-    return batch.materialize_validated(spark, batch.validate_stage(transaction_feed(spark, sf)), "validated")
+    """Validated clean feed; lazy, so a query is one pass over the feed."""
+    return batch.validate_stage(transaction_feed(spark, sf))
 
 
 def _noisy_validated(spark: SparkSession, sf: str) -> DataFrame:
-    return batch.materialize_validated(spark, batch.validate_stage(noisy_transaction_feed(spark, sf)),
-                                       "validated_noisy")
+    return batch.validate_stage(noisy_transaction_feed(spark, sf))
 
 
 def q_json_parse_outcomes(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,8 +97,17 @@ def q_json_parse_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_rule_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    return rule_flags(transaction_feed(spark, sf)).select(
-        "o_orderkey", "store_ok", "cashier_ok", "total_ok", "method_ok", "status_ok", "items_ok", "receipt_ok")
+    return rule_flags(noisy_transaction_feed(spark, sf)).select(
+        "o_orderkey", "store_ok", "cashier_ok", "total_ok", "method_ok", "status_ok", "quantity_ok", "price_ok",
+        "line_total_ok", "receipt_ok", "present_ok", "uuid_ok", "types_ok")
+
+
+def q_agg_body_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw aggregate bodies (VAL-A1, Q, U, Y) through the same rule registry as the transactions' flags."""
+    bodies = aggregate_bodies(format_aggregated_event(turnover(sales_events(spark, sf))))
+    v = validate_aggregate_messages(bodies)
+    return v.select("store_id", iso_utc(F.col("window_start")).alias("window_start"), "noise", "outcome", errors_text(),
+                    F.col("aggregate.event_id").alias("event_id"), F.col("aggregate.total_amount").alias("total_amount"))
 
 
 def q_validation_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -225,6 +234,14 @@ def q_lag_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return lag_histogram(lagged, by=("event_type",))
 
 
+def q_progress_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Counters of one pass over the noisy feed, read from its observation after the action."""
+    counters = {name: F.count(F.when(F.col("outcome") == name, 1)) for name in C.OUTCOMES}
+    observed, progress = observe_progress(_noisy_validated(spark, sf).select("outcome"), counters=counters)
+    observed.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(progress.get.items()), "counter string, n long")
+
+
 # --- extension points -------------------------------------------------------------
 def q_generic_fold(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators.fold import (TURNOVER_ACC, tumbling_fold, turnover_builder, turnover_folder,
@@ -253,6 +270,19 @@ def q_json_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return read_json_documents(spark, path, CATALOG_ITEM)
 
 
+def q_string_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """The order priorities as an array of strings in one JSON document, read back."""
+    import uuid
+
+    from ..session import scratch_path
+    from ..sources.lookups import read_string_list
+    path = scratch_path(spark, "lookups", f"names-{uuid.uuid4().hex}")
+    names = read_table(spark, sf, "orders", ["o_orderpriority"]).agg(
+        F.to_json(F.array_sort(F.collect_set("o_orderpriority"))).alias("value"))
+    names.write.text(path)
+    return read_string_list(spark, path).toDF("name")
+
+
 QUERIES: dict[str, Query] = {
     "turnover_10s": q_turnover_10s,
     "turnover_1h": q_turnover_1h,
@@ -276,6 +306,9 @@ QUERIES: dict[str, Query] = {
     "topic_parse": q_topic_parse,
     "store_routes": q_store_routes,
     "agg_validation": q_agg_validation,
+    "agg_body_validation": q_agg_body_validation,
+    "progress_counts": q_progress_counts,
+    "string_lookup": q_string_lookup,
     "bad_event_time": q_bad_event_time,
     "outcome_counts": q_outcome_counts,
     "lag_histogram": q_lag_histogram,

@@ -26,8 +26,3 @@ def stream_envelopes_kafka(envelopes: DataFrame, options: dict[str, str], checkp
     """Streaming writer of envelopes to the broker (start it with ``.start()``)."""
     return (envelopes.select("topic", "key", "value", "headers").writeStream.format("kafka")
             .options(**options).option("checkpointLocation", checkpoint))
-
-
-def write_envelopes_by_queue(routed: DataFrame, path: str, mode: str = "append") -> None:
-    """File twin of per-store queues: one folder per ``queue`` value."""
-    routed.write.mode(mode).partitionBy("queue").parquet(path)

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.binding import bind
+from ..schemas import AGGREGATED_FIELDS
 from .tables import read_table
 
 # --- Fixed values of the derivation rules -----------------------------------
@@ -161,7 +163,62 @@ def transaction_feed(spark: SparkSession, sf_dir: str, sent_at: bool = False) ->
     """Raw JSON transactions: ``o_orderkey`` (arrival order), ``value`` and, if asked for, ``sent_at`` (event time text)."""
     rows = transaction_rows(spark, sf_dir)
     extra = [F.col("timestamp").alias("sent_at")] if sent_at else []
-    return rows.select("o_orderkey", *extra, F.to_json(F.struct(*TXN_JSON_FIELDS)).alias("value"))
+    # Bound: a message is made once, however often its text is read.
+    message = bind(rows.select("o_orderkey", *extra, *TXN_JSON_FIELDS), {"value": F.to_json(F.struct(*TXN_JSON_FIELDS))})
+    return message.drop(*TXN_JSON_FIELDS)
+
+
+# --- Fixed values: damage rules of aggregate bodies (first matching rule wins) --
+AGGREGATE_NOISE = (
+    ("missing_total", 31, 1),
+    ("total_as_text", 37, 2),
+    ("nonpositive_total", 41, 3),
+    ("bad_uuid", 43, 4),
+    ("uuid_as_number", 47, 5),
+    ("missing_store", 53, 6),
+    ("store_as_number", 59, 7),
+    ("null_end", 61, 8),
+    ("two_errors", 67, 9),
+    ("truncated", 71, 10),
+    ("total_as_true", 73, 11),
+    ("uuid_braced", 79, 12),
+)
+
+
+def aggregate_bodies(aggregates: DataFrame) -> DataFrame:
+    """AggregatedEvent rows as JSON bodies, some damaged by a rule on window number plus store number.
+
+    Columns: store_id, window_start, noise, value.
+    """
+    k = F.floor(F.unix_micros("window_start") / F.lit(10_000_000)) + F.regexp_extract("store_id", r"\d+", 0).cast("long")
+    kind = None
+    for name, modulus, residue in AGGREGATE_NOISE:
+        hit = k % modulus == residue
+        kind = F.when(hit, name) if kind is None else kind.when(hit, name)
+    body = F.to_json(F.struct(*AGGREGATED_FIELDS))
+    out = bind(aggregates.select("store_id", "window_start", kind.alias("noise"), body.alias("value")),
+               {"noise": F.col("noise"), "value": F.col("value")})
+    v, kind = F.col("value"), F.col("noise")
+
+    def edit(pattern: str, text: str, of: Column = v) -> Column:
+        return F.regexp_replace(of, pattern, text)
+
+    total, event = r'"total_amount":([^,]+),', r'"event_id":"([^"]*)"'
+    damaged = (
+        F.when(kind == "missing_total", edit(total, ""))
+        .when(kind == "total_as_text", edit(total, '"total_amount":"$1",'))
+        .when(kind == "nonpositive_total", edit(total, '"total_amount":0,'))
+        .when(kind == "total_as_true", edit(total, '"total_amount":true,'))
+        .when(kind == "bad_uuid", edit(event, '"event_id":"x"'))
+        .when(kind == "uuid_as_number", edit(event, '"event_id":5'))
+        .when(kind == "uuid_braced", edit(event, '"event_id":"{$1}"'))
+        .when(kind == "missing_store", edit(r'"store_id":"[^"]*",', ""))
+        .when(kind == "store_as_number", edit(r'"store_id":"[^"]*"', '"store_id":7'))
+        .when(kind == "null_end", edit(r'"end_stream_aggregator":"[^"]*"', '"end_stream_aggregator":null'))
+        .when(kind == "two_errors", edit(r'"begin_stream_aggregator":"[^"]*",', "", edit(event, '"event_id":"x"')))
+        .when(kind == "truncated", v.substr(F.lit(1), F.length(v) - 1))
+        .otherwise(v))
+    return out.withColumn("value", damaged)
 
 
 # --- Fixed values: damage rules of the noisy feed (first matching rule wins) --
@@ -184,6 +241,10 @@ NOISE_RULES = (
     ("uuid_simple_upper", 163, 14),
     ("uuid_invalid", 167, 15),
     ("padded_store_id", 191, 18),
+    ("forged_end", 193, 19),
+    ("forged_array_end", 197, 20),
+    ("nonpositive_total", 199, 21),
+    ("negative_line_total", 211, 22),
 )
 
 
@@ -225,7 +286,13 @@ def noisy_transaction_feed(spark: SparkSession, sf_dir: str, sent_at: bool = Fal
         .when(kind == "uuid_simple_upper", F.regexp_replace(v, r'^\{"transaction_id":"00000000-0000-0000-0000-',
                                                             '{"transaction_id":"0000000000000000ABCD'))
         .when(kind == "uuid_invalid", F.regexp_replace(v, r'^\{"transaction_id":"[^"]*"', '{"transaction_id":"not-a-uuid"'))
+        .when(kind == "forged_end", F.concat(v, F.lit(',"end of message"')))
+        .when(kind == "forged_array_end", F.concat(v, F.lit(',"end of message"] junk')))
+        .when(kind == "nonpositive_total", F.regexp_replace(v, r'\],"total_amount":[^,]+,', '],"total_amount":-0.5,'))
+        .when(kind == "negative_line_total",
+              F.regexp_replace(v, r'("items":\[\{[^}]*"total_price":)[^}]+\}', "$1-1.0}"))
         .when(kind == "padded_store_id", F.regexp_replace(v, r'"store_id":"STORE_([0-9]+)"', '"store_id":"STORE_0$1"'))
         .otherwise(v)
     )
-    return feed.select("o_orderkey", *(["sent_at"] if sent_at else []), kind.alias("noise"), damaged.alias("value"))
+    out = feed.select("o_orderkey", *(["sent_at"] if sent_at else []), kind.alias("noise"), v)
+    return bind(out, {"value": damaged})

@@ -10,7 +10,7 @@ from conftest import SF001
 
 
 def test_clean_feed_branch_counts(spark):
-    v = batch.materialize_validated(spark, batch.validate_stage(transaction_feed(spark, SF001)))
+    v = batch.validate_stage(transaction_feed(spark, SF001))
     counts = {r.outcome: r["count"] for r in v.groupBy("outcome").count().collect()}
     assert sum(counts.values()) == 1500
     assert counts[C.OUTCOME_PUBLISHED] == 642
@@ -21,7 +21,7 @@ def test_clean_feed_branch_counts(spark):
 
 def test_every_message_gets_exactly_one_outcome(spark):
     raw = noisy_transaction_feed(spark, SF001)
-    v = batch.materialize_validated(spark, batch.validate_stage(raw))
+    v = batch.validate_stage(raw)
     assert v.count() == raw.count()
     outcomes = {r.outcome for r in v.select("outcome").distinct().collect()}
     assert outcomes <= {C.OUTCOME_MALFORMED, C.OUTCOME_SERVER_ERROR, C.OUTCOME_REJECTED,
@@ -34,7 +34,7 @@ def test_every_message_gets_exactly_one_outcome(spark):
 
 def test_correction_is_idempotent(spark):
     from posturn.operators.correct import correct_totals
-    v = batch.materialize_validated(spark, batch.validate_stage(transaction_feed(spark, SF001)))
+    v = batch.validate_stage(transaction_feed(spark, SF001))
     pub = batch.published(v).select("txn")
     # The flag compares the float fold (noise may differ from the cent sum),
     # but a second correction never changes the value.

@@ -60,7 +60,7 @@ def test_event_time_needs_a_full_date(spark):
 
 def test_empty_batch_is_read_back(spark):
     raw = spark.createDataFrame([], "key string, value string")
-    stored = batch.materialize_validated(spark, batch.validate_stage(raw))
+    stored = batch.validate_stage(raw)
     assert stored.count() == 0 and batch.rejects(stored).count() == 0
 
 
