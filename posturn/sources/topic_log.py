@@ -49,10 +49,11 @@ class Store:
     def __init__(self, path: str):
         from pyarrow import fs
 
-        if "://" in path or path.startswith("file:"):
+        if "://" in path and not path.startswith("file:"):
             self.fs, self.root = fs.FileSystem.from_uri(path)
         else:
-            self.fs, self.root = fs.LocalFileSystem(), path
+            folder = "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+            self.fs, self.root = fs.LocalFileSystem(), folder
 
     def segment(self, name: str) -> str:
         return posixpath.join(self.root, "segments", name)
