@@ -16,6 +16,10 @@ may hold a third of all data.  Instead it is a two-level parallel prefix scan:
 3. inside each (key, chunk) a running maximum over the preceding rows, and
    the clock of a record is the greater of the two.
 
+Chunks of arrival positions have as many rows as the keys make them.  Where
+arrival keys are not positions (times, or one key for many rows),
+:func:`tag_late_by_rank` cuts chunks of an exact number of rows instead.
+
 The join in (3) is left to Spark: AQE turns it into a broadcast join at run
 time only when the measured chunk table is below the broadcast threshold, and
 keeps a shuffle join otherwise.  No task ever holds more than one chunk of
@@ -28,8 +32,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .ranking import arrival_ranks
 
 DEFAULT_CHUNK_SPAN = 1 << 20
+#: Rows of a chunk where chunks are cut by rank.
+CHUNK_ROWS = 1 << 20
 
 
 def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
@@ -38,8 +45,8 @@ def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
              initial_clock: DataFrame | None = None) -> DataFrame:
     """Add ``clock`` (max earlier event time of the key) and ``late`` (BOOLEAN).
 
-    A row without an event time is neither late nor on time (``late`` is NULL)
-    and moves no clock.
+    A row without an event time or without a key is neither late nor on time
+    (``late`` is NULL) and moves no clock.
 
     ``initial_clock`` (columns ``key``, ``clock``) seeds each key's clock with
     what came before ``df`` -- the carry of earlier micro-batches.  It is
@@ -62,9 +69,19 @@ def tag_late(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
                .withColumn("clock", F.greatest(F.col("_before_chunk"), F.max(time_col).over(inner))))
     late = F.coalesce(F.col(time_col) < F.col("clock") - F.expr(f"INTERVAL {int(lateness_ms)} MILLISECONDS"),
                       F.col(time_col).isNull() & F.lit(None).cast("boolean"))
+    late = F.when(F.col(key).isNotNull(), late)
     return tagged.withColumn("late", late).drop("_chunk", "_before_chunk")
 
 
+def tag_late_by_rank(df: DataFrame, key: str = "store_id", time_col: str = "event_time",
+                     arrival_col: str = "arrival_key", tie_col: str = "event_id",
+                     lateness_ms: int = C.ALLOWED_LATENESS_MS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """:func:`tag_late` for any arrival keys: no chunk has more than ``chunk_rows`` rows, and few have less."""
+    ranked = arrival_ranks(df, key, arrival_col, tie_col, "_arrival", range_rows=chunk_rows)
+    return tag_late(ranked, key=key, time_col=time_col, arrival_col="_arrival", tie_col="_arrival",
+                    lateness_ms=lateness_ms, chunk_span=chunk_rows).drop("_arrival")
+
+
 def on_time(df: DataFrame, **kwargs) -> DataFrame:
     """Records that are not late (the ones the window aggregation keeps)."""
     return tag_late(df, **kwargs).where(~F.col("late")).drop("late", "clock")

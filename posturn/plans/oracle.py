@@ -368,6 +368,8 @@ reasoned AS (
                  WHEN total_amount IS NULL THEN 'missing_total' END AS reason
   FROM sales)"""
 SALES_APART = SALES.replace("ts AS event_time", "ts + to_days(CAST(user_id % 10 + 1 AS INTEGER) * 30) AS event_time")
+ORACLE["late_split_ranked"] = with_(SALES.replace("event_id + CASE", "epoch_us(ts) // 3600000000 * 3600000000 + CASE"), LATE) \
+    + "SELECT event_id, store_id, late FROM tagged"
 ORACLE["stream_unusable"] = with_(SALES_DAMAGED) + "SELECT event_id, reason FROM reasoned WHERE reason IS NOT NULL"
 ORACLE["stream_strict_apart"] = with_(SALES_APART, LATE, "ontime AS (SELECT * FROM tagged WHERE NOT late)") \
     + turnover_sql("ontime")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.timefmt import iso_utc, parse_event_time
 from ..operators.correct import basket_sum
-from ..operators.lateness import on_time, tag_late
+from ..operators.lateness import on_time, tag_late, tag_late_by_rank
 from ..operators.metrics import lag_histogram, observe_progress, outcome_counts
 from ..operators.route import aggregate_envelopes, parse_topic, subscribe, transaction_envelopes
 from ..operators.turnover import format_aggregated_event, merge_turnover, turnover
@@ -78,6 +78,13 @@ def q_late_split(spark: SparkSession, sf: str) -> DataFrame:
     return tag_late(sales_events(spark, sf)).select("event_id", "store_id", "late")
 
 
+def q_late_split_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """Late tags where arrival is a time of day in whole hours, so many rows share one and most hours are far apart."""
+    hours = F.floor(F.unix_micros("event_time") / F.lit(3_600_000_000)) * F.lit(3_600_000_000)
+    sales = sales_events(spark, sf).withColumn("arrival_key", hours + F.col("arrival_key") - F.col("event_id"))
+    return tag_late_by_rank(sales).select("event_id", "store_id", "late")
+
+
 def q_turnover_on_time(spark: SparkSession, sf: str) -> DataFrame:
     return turnover_columns(turnover(on_time(sales_events(spark, sf))))
 
@@ -290,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "turnover_formatted": q_turnover_formatted,
     "turnover_merge": q_turnover_merge,
     "late_split": q_late_split,
+    "late_split_ranked": q_late_split_ranked,
     "turnover_on_time": q_turnover_on_time,
     "json_parse_outcomes": q_json_parse_outcomes,
     "rule_outcomes": q_rule_outcomes,

@@ -94,3 +94,31 @@ def test_fold_adds_amounts_unrounded(spark):
     found = [(r[0], r[1], r[2]) for r in got.select("store_id", turnover_total(), "n_events").collect()]
     want = [("s1", 0.04, 10), ("s2", 1.005, 2), ("s3", 1e18 + 0.5, 2), (None, 0.125, 1)] * 3
     assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_ranks_are_dense_and_chunks_bounded(spark):
+    """A hot key, one arrival key for many rows, null keys and arrivals; ranges far smaller than the key."""
+    import random
+    from collections import Counter
+
+    from posturn.operators.lateness import tag_late, tag_late_by_rank
+    from posturn.operators.ranking import arrival_ranks
+    rnd = random.Random(11)
+    rows = [("HOT" if rnd.random() < 0.7 else rnd.choice(["A", "B", None]), k, rnd.choice([0, 0, 0, k * 1_000_003, None]),
+             rnd.randint(0, 5_000_000)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "store_id string, event_id long, arrival_key long, t long").repartition(7).withColumn(
+        "event_time", F.timestamp_micros("t"))
+    got = arrival_ranks(df, range_rows=100)
+    assert got.columns == [*df.columns, "rank"]
+    order = {}
+    for store, eid, arrival, _ in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[1])):
+        order[eid] = sum(1 for _ in order.setdefault(("n", store), []))
+        order[("n", store)].append(eid)
+    assert {r.event_id: r["rank"] for r in got.collect()} == {k: v for k, v in order.items() if isinstance(k, int)}
+    chunks = Counter((r.store_id, r["rank"] // 100) for r in got.collect())
+    assert max(chunks.values()) == 100 and len(chunks) < 3000 / 100 + 5
+    whole = tag_late(got, arrival_col="rank", tie_col="rank", chunk_span=1 << 40)
+    want = {r.event_id: r.late for r in whole.collect()}
+    assert {r.event_id: r.late for r in tag_late_by_rank(df, chunk_rows=100).collect()} == want and any(want.values())
+    assert {want[r[1]] for r in rows if r[0] is None} == {None}
+    assert arrival_ranks(df.limit(0)).count() == 0
