@@ -103,13 +103,6 @@ def _headers(value: bytes) -> tuple[int, int, dict] | None:
     return None if length is None else (end + 4, length, fields)
 
 
-def _payload(block: bytes) -> bytes:
-    """The entity of an HTTP response block."""
-    if not block.startswith(b"HTTP/"):
-        return block
-    return block.partition(b"\r\n\r\n")[2]
-
-
 _KEYS = "file string, split long, seq long"
 
 
@@ -277,20 +270,36 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         F.aggregate(F.slice("p", 2, F.greatest(F.size("p") - 1, F.lit(1))), F.col("p")[0]["value"],
                     lambda acc, x: F.concat(acc, magic, x["value"])).alias("value"))
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            heads = [_headers(v) for v in batch.column(3).to_pylist()]
-            values = batch.column(3).to_pylist()
-            keep = [k for k, h in enumerate(heads) if h is not None and len(values[k]) >= h[0] + h[1]]
-            fields = [pa.array([heads[k][2].get(name) for k in keep], pa.string()) for name in _FIELDS]
-            payload = [_payload(values[k][heads[k][0]:heads[k][0] + heads[k][1]]) for k in keep]
-            index = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(index) for i in range(3)] + fields + [pa.array(payload, pa.binary())],
-                ["file", "split", "seq", *_FIELDS, "payload"])
-
-    return whole.unionByName(joined).mapInArrow(
-        records, f"{_KEYS}, " + ", ".join(f"{n} string" for n in _FIELDS) + ", payload binary")
+    return _records(whole.unionByName(joined))
+
+
+def _field(head: Column, name: str) -> Column:
+    """The text of the last header line of that name; NULL if there is none."""
+    line = rf"(?is)\A(?:.*\r\n)?[ \t]*{name}[ \t]*:[ \t]*([^\r\n]*?)[ \t]*(?:\r\n.*)?\z"
+    return F.when(head.rlike(line), F.regexp_extract(head, line, 1))
+
+
+def _records(rows: DataFrame) -> DataFrame:
+    """Header fields and payloads of values that follow a magic; a value without its whole block is no record.
+
+    In expressions alone: a Python worker numbers the rows of the same task already.
+    """
+    raw = F.col("value")
+    headed = rows.where(F.instr(raw.cast("string"), RECORD_END) > 0).withColumn(
+        "head", F.substring_index(raw.cast("string"), RECORD_END, 1))
+    length = r"(?is)\A(?:.*\r\n)?[ \t]*content-length[ \t]*:[ \t]*(\d{1,18})[ \t]*(?:\r\n.*)?\z"
+    sized = headed.withColumns({"start": F.octet_length("head") + len(RECORD_END),
+                                "length": F.regexp_extract("head", length, 1).try_cast("long")})
+    sized = sized.where(F.col("length").isNotNull() & (F.octet_length("value") >= F.col("start") + F.col("length")))
+    block = sized.withColumn("block", F.substring(raw, F.col("start") + 1, F.col("length").try_cast("int")))
+    # The entity of an HTTP response block; without an end of its head it is empty.
+    text = F.col("block").cast("string")
+    entity = F.substring(F.col("block"), F.octet_length(F.substring_index(text, RECORD_END, 1)) + len(RECORD_END) + 1,
+                         F.octet_length("block"))
+    payload = F.when(F.substring(F.col("block"), F.lit(1), F.lit(5)) == F.lit("HTTP/").cast("binary"), entity).otherwise(F.col("block"))
+    names = {name: label.decode() for label, name in _NAMES.items()}
+    return block.select("file", "split", "seq", *[_field(F.expr("make_valid_utf8(head)"), names[n]).alias(n) for n in _FIELDS],
+                        payload.alias("payload"))
 
 
 def archive_folder(spark: SparkSession) -> str:
