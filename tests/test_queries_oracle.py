@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001, register_tables
 
-SLOW = {"stream_validate", "stream_turnover", "stream_strict_late", "generic_fold"}
+SLOW = {"stream_validate", "stream_turnover", "stream_strict_late", "stream_strict_late_scan", "stream_chain",
+        "stream_generic_fold", "generic_fold"}
 
 
 def digest(cols, rows):
