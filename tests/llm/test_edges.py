@@ -4,6 +4,7 @@ import base64
 import functools
 import hashlib
 import itertools
+import random
 import zlib
 
 import numpy as np
@@ -536,3 +537,22 @@ def test_substrings(spark, docs, empty):
             assert sum(b - a for a, b in spans) == r.n_bytes - len(r.kept)
             assert all(a < b for a, b in spans) and all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
     assert removed_substrings(empty).count() == 0
+
+
+@pytest.mark.parametrize("order", [("a1", "a2", "b", "c"), ("b", "a1", "a2", "c"), ("c", "a1", "a2", "b")])
+def test_passages_of_several_sources(spark, order):
+    """Words 1-40 in one document, 41-80 in another, all 80 in a third, and a copy of that with every ninth changed."""
+    from posturn.llm.passages import repeated_passages
+    rng = random.Random(5)
+    rows, wanted = [], set()
+    for case in range(40):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(80)]
+        edited = [f"e{rng.randrange(10**9)}" if k % 9 == 4 else w for k, w in enumerate(words)]
+        texts = {"a1": words[:40], "a2": words[40:], "b": words, "c": edited}
+        ids = {part: case * 10 + k for k, part in enumerate(order)}
+        rows += [(ids[p], " ".join(t + [f"u{rng.randrange(10**9)}" for _ in range(30)])) for p, t in texts.items()]
+        wanted.add((max(ids["b"], ids["c"]), min(ids["b"], ids["c"])))
+    got = {(r.doc_id, r.source_id) for r in
+           repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(wanted & got) >= 0.95 * len(wanted)
+    assert got <= wanted
