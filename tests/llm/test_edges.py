@@ -556,3 +556,48 @@ def test_passages_of_several_sources(spark, order):
            repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(wanted & got) >= 0.95 * len(wanted)
     assert got <= wanted
+
+
+def test_decontamination_of_many_words(spark):
+    """Items whose words do not fit one block, and one item alone with more words than 16-bit ids have."""
+    from posturn.llm.decontam import MAX_WORDS, _chunks, _item_blocks, _streams
+
+    giant = " ".join(f"g{j}" for j in range(MAX_WORDS + 10))
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(40_000))) for k in range(2)] + [(2, giant), (3, "a short item")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert [[r.item_id for r in b] for b in _item_blocks(iter(benchmark.collect()))] == [[0], [1], [2], [3]]
+    words = {w: k + 1 for k, w in enumerate(giant.split())}
+    streams = _streams(benchmark.where("item_id = 2"), words, "item_id", "text").toArrow().to_batches()
+    (_, _, (ids,)), = _chunks(iter(streams), len(words))
+    assert ids.tolist() == list(range(1, len(words) + 1))
+
+
+def test_quality_sample_is_bounded(spark):
+    from posturn.llm.quality import train
+
+    docs = spark.createDataFrame([(1, "a few words here")] * 500 + [(2, "b"), (3, "some more words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    once = train(docs.dropDuplicates(), labels)
+    assert np.array_equal(train(docs, labels).weights, once.weights)
+
+
+def test_directory_depth_follows_the_data():
+    from posturn.llm.exact import DEEPEST, MAX_BUCKET_BYTES, MAX_DEPTH, depth_for
+
+    assert depth_for(0, MAX_DEPTH) == depth_for(200 << 30, MAX_DEPTH) == MAX_DEPTH
+    assert depth_for(1 << 40, MAX_DEPTH) == 17 and depth_for(100 << 40, MAX_DEPTH) == DEEPEST
+    for total in (300 << 30, 1 << 40, 4 << 40):
+        assert total >> depth_for(total, MAX_DEPTH) <= MAX_BUCKET_BYTES / 2
+
+
+def test_url_filter_with_very_many_labels(spark):
+    from posturn.llm.urls import filter_urls
+
+    pages = spark.createDataFrame([(1, "http://" + "a." * 6000 + "org/fr/x"), (2, "http://b.c.net/"), (3, "http://net/"),
+                                   (4, "http://x.example.net/en/y"), (5, "http://org")], "page_id long, url string")
+    rules = spark.createDataFrame([("net/", "block"), ("example.net/en/", "allow"), ("org/fr/", "allow")],
+                                  "rule string, action string")
+    listed = spark.createDataFrame([], "url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in filter_urls(pages, rules, listed).collect()}
+    assert got == {1: ("org/fr/", "allow"), 2: ("net/", "block"), 3: ("net/", "block"),
+                   4: ("example.net/en/", "allow"), 5: (None, "allow")}
