@@ -135,18 +135,23 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     """Learn from labelled rows that are not held out, at most ``max_labelled`` of them.
 
     Labels without id or quality are ignored; of contradicting labels of an id
-    the majority counts, a tie as 1.
+    the majority counts, a tie as 1; of texts that repeat an id one counts (least
+    features), so the driver gets at most ``max_labelled`` rows.
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))) \
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
     sample = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")) \
-        .join(F.broadcast(sample), "doc_id").select("quality", "text")
+        .join(F.broadcast(sample), "doc_id").select("doc_id", "quality", "text")
 
     def make(batch: pa.RecordBatch, x: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["quality", "x"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(list(x), pa.list_(pa.float64()))],
+                                          ["doc_id", "quality", "x"])
 
-    fitted = _featured(rows, "quality int, x array<double>", make).collect()
+    kind = docs.schema[id_col].dataType.simpleString()
+    fitted = _featured(rows, f"doc_id {kind}, quality int, x array<double>", make) \
+        .groupBy("doc_id").agg(F.min(F.struct("x", "quality")).alias("f")).select("doc_id", "f.*").collect()
+    fitted.sort(key=lambda r: r.doc_id)
     return fit_ranker([r.x for r in fitted], [r.quality for r in fitted])
 
 
