@@ -95,6 +95,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame,
     rule_path = F.expr("substring(rule, instr(rule, '/'))")
     # One candidate prefix per length that rule paths have: a summary no longer than the longest path.
     lengths = [r[0] for r in rules.where("instr(rule, '/') > 0").select(F.length(rule_path)).distinct().collect()]
+    # Likewise one host suffix per number of labels that rule hosts have, however many labels a URL's host has.
+    depths = [r[0] for r in rules.where("instr(rule, '/') > 0")
+              .select(F.size(F.split(F.substring_index("rule", "/", 1), r"\."))).distinct().collect()]
     n_keys = rules.count() + listed.count()
     blocks = min(MAX_FILTER_BLOCKS, max(1, 2 ** math.ceil(math.log2(max(1, n_keys) * BITS_PER_KEY / (32 * WORDS)))))
     keys = rules.select(F.concat(F.lit("r:"), "rule").alias("key")) \
@@ -107,8 +110,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame,
         .where("host <> ''")  # one probe per distinct URL, counted together before the shuffle
 
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.filter(F.array(*[F.when(F.size(labels) >= n, F.array_join(F.slice(labels, -n, n), "."))
+                                  for n in depths]), lambda s: s.isNotNull()) \
+        if depths else F.array().cast("array<string>")
     prefixes = F.array(*[F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths]) \
         if lengths else F.array().cast("array<string>")
     probes = F.flatten(F.transform(suffixes, lambda s: F.transform(
