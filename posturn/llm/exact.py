@@ -3,7 +3,7 @@
 A text's pseudo-key is a 64-bit hash.  The directory starts with one bucket
 and doubles while a bucket holds more bytes than the capacity; a bucket then
 splits by the next leading bit.  Only a bounded histogram (``2 ** max_depth``
-prefixes) reaches the driver.  Each bucket belongs to one owner task, which
+prefixes, more of them for a larger table) reaches the driver.  Each bucket belongs to one owner task, which
 reads its keys in order, compares the bytes of equal keys and chains those that
 differ.  A bucket that no further bit can split (one text repeated very often)
 overflows into several owners; their representatives, one per owner and text,
@@ -16,12 +16,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from posturn.llm.common import lower_ascii, shuffle_partitions, written
 
 MAX_DEPTH = 14
+#: Leading bits of the directory for tables too large for ``MAX_DEPTH``; the histogram has at most 2 ** 18 numbers.
+DEEPEST = 18
 MIN_BUCKET_BYTES, MAX_BUCKET_BYTES = 1 << 18, 32 << 20
 
 
@@ -55,6 +57,11 @@ def directory(sizes: dict[int, int], capacity: int, max_depth: int) -> list[tupl
     return out
 
 
+def depth_for(total: int, least: int) -> int:
+    """Leading bits that keep an average bucket of ``total`` bytes under half of the largest capacity."""
+    return min(max(least, DEEPEST), max(least, (2 * total // MAX_BUCKET_BYTES).bit_length()))
+
+
 def _owner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chain the rows of each pseudo-key by their bytes.
 
@@ -103,10 +110,20 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     norm = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
     rows = docs.select(F.col(id_col).alias("doc_id"), norm.cast("binary").alias("text")) \
         .withColumn("h", F.xxhash64("text"))
-    leaf = F.shiftrightunsigned("h", 64 - max_depth).cast("int")
-    sizes = {r[0]: r[1] for r in rows.groupBy(leaf.alias("leaf")).agg(F.sum(F.octet_length("text") + 64).alias("n")).collect()}
+
+    def histogram(depth: int) -> tuple[Column, dict[int, int]]:
+        leaf = F.shiftrightunsigned("h", 64 - depth).cast("int")
+        held = rows.groupBy(leaf.alias("leaf")).agg(F.sum(F.octet_length("text") + 64).alias("n"))
+        return leaf, {r[0]: r[1] for r in held.collect()}
+
+    leaf, sizes = histogram(max_depth)
     if capacity is None:
+        depth = depth_for(sum(sizes.values()), max_depth)
+        if depth > max_depth:
+            max_depth, (leaf, sizes) = depth, histogram(depth)
         capacity = min(MAX_BUCKET_BYTES, max(MIN_BUCKET_BYTES, sum(sizes.values()) // (2 * shuffle_partitions(spark))))
+        # Buckets of a full directory grow with the table, so that only a repeated text makes one overflow.
+        capacity = max(capacity, 2 * sum(sizes.values()) >> max_depth)
     buckets = directory(sizes, capacity, max_depth)
     leaves = [(leaf_, k, owners) for k, ((at, local, owners)) in enumerate(buckets)
               for leaf_ in range(at, at + (1 << (max_depth - local))) if leaf_ in sizes]
