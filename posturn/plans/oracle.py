@@ -315,6 +315,18 @@ SELECT topic, key FROM (
   UNION ALL
   SELECT {agg_topic()} AS topic, event_id AS key FROM sagg) u
 WHERE starts_with(topic, '{P}/receipt/STORE_3/') OR starts_with(topic, '{P}/aggregations/STORE_7/')""",
+    "topic_deliveries": with_(FIXTURE, CLEAN, "pub AS (SELECT * FROM ox WHERE outcome = 'published')") + """
+SELECT 'customer_' || CAST(c_custkey AS VARCHAR) AS queue, transaction_id AS key
+FROM pub JOIN customer ON customer_id = 'CUSTOMER_' || CAST(c_custkey AS VARCHAR)
+UNION ALL
+SELECT 'region_' || CAST(r_regionkey AS VARCHAR), transaction_id
+FROM pub JOIN region ON store_id = 'STORE_' || CAST(r_regionkey + 1 AS VARCHAR)
+UNION ALL
+SELECT 'nation_' || CAST(n_nationkey AS VARCHAR), transaction_id
+FROM pub JOIN nation ON starts_with(store_id, 'STORE_' || CAST(n_nationkey AS VARCHAR))""",
+    "broker_records": with_(FIXTURE, CLEAN) + f"""
+SELECT '{P.replace('/', '.')}.receipt' AS topic, transaction_id AS key, {TXN_TOPIC} AS path
+FROM ox WHERE outcome = 'published'""",
     "topic_parse": with_(FIXTURE, CLEAN) + """
 SELECT transaction_id AS key, 'receipt' AS t_kind, store_id AS t_store_id, cashier_id AS t_cashier_id,
        payment_method AS t_payment_method, payment_status AS t_payment_status, ts_text AS t_timestamp,

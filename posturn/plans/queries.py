@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.timefmt import iso_utc, parse_event_time
 from ..operators.correct import basket_sum
+from ..operators.delivery import deliver
 from ..operators.lateness import on_time, tag_late, tag_late_by_rank
 from ..operators.metrics import lag_histogram, observe_progress, outcome_counts
 from ..operators.route import aggregate_envelopes, parse_topic, subscribe, transaction_envelopes
@@ -24,6 +25,7 @@ from ..operators.turnover import format_aggregated_event, merge_turnover, turnov
 from ..operators.rules import rule_flags, validate_aggregate_messages
 from ..operators.validate import validate_aggregates
 from ..sources.fixtures import aggregate_bodies, noisy_transaction_feed, sales_events, transaction_feed
+from ..sinks.envelopes import broker_records, message_path
 from ..sources.tables import read_table
 from . import batch
 
@@ -193,6 +195,33 @@ def q_topic_filter(spark: SparkSession, sf: str) -> DataFrame:
     return subscribe(both, *FILTER_SUBSCRIPTIONS)
 
 
+def table_subscriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """``(queue, subscription)``: customers to their receipts (even ones twice, in two forms), regions and nations to stores."""
+    def subscriptions(name: str, column: str, queue: str, *texts: str) -> DataFrame:
+        rows = read_table(spark, sf, name, [column])
+        return rows.select(F.concat(F.lit(queue), F.col(column).cast("string")).alias("queue"),
+                           F.explode(F.array(*[F.expr(t) for t in texts])).alias("subscription"))
+
+    p, own = C.TOPIC_PREFIX, "/*" * 7
+    receipts = "'/CUSTOMER_' || cast(c_custkey AS string)"
+    return subscriptions("customer", "c_custkey", "customer_", f"'{p}/receipt/*{own}' || {receipts}",
+                         f"CASE WHEN c_custkey % 2 = 0 THEN '{p}/receipt/STORE_*{own}' || {receipts} END") \
+        .unionByName(subscriptions("region", "r_regionkey", "region_",
+                                   f"'{p}/receipt/STORE_' || cast(r_regionkey + 1 AS string) || '/>'")) \
+        .unionByName(subscriptions("nation", "n_nationkey", "nation_",
+                                   f"'{p}/receipt/STORE_' || cast(n_nationkey AS string) || '*/>'"))
+
+
+def q_topic_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    env = transaction_envelopes(batch.published(_validated(spark, sf))).select("topic", "key")
+    return deliver(env, table_subscriptions(spark, sf)).select("queue", "key")
+
+
+def q_broker_records(spark: SparkSession, sf: str) -> DataFrame:
+    records = broker_records(transaction_envelopes(batch.published(_validated(spark, sf))))
+    return records.select("topic", "key", message_path(F.col("headers")).alias("path"))
+
+
 def q_topic_parse(spark: SparkSession, sf: str) -> DataFrame:
     env = transaction_envelopes(batch.published(_validated(spark, sf)))
     parsed = parse_topic(env)
@@ -311,6 +340,8 @@ QUERIES: dict[str, Query] = {
     "txn_envelope": q_txn_envelope,
     "agg_envelope": q_agg_envelope,
     "topic_filter": q_topic_filter,
+    "topic_deliveries": q_topic_deliveries,
+    "broker_records": q_broker_records,
     "topic_parse": q_topic_parse,
     "store_routes": q_store_routes,
     "agg_validation": q_agg_validation,
