@@ -9,11 +9,15 @@ number) never raises: it is added to the others' exact sum as a DOUBLE.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SCALE = 10
 MONEY = f"decimal(28,{SCALE})"
+#: One digit below the largest decimal, so that the sum of two keeps all decimals.
+_TOTAL = f"decimal(37,{SCALE})"
 
 
 def exact_amount(amount: Column) -> Column:
@@ -32,11 +36,31 @@ def amount_parts(amount: Column) -> tuple[Column, Column, Column]:
             F.when(exact.isNull(), F.coalesce(amount, F.lit(0.0))).otherwise(F.lit(0.0)))
 
 
+def whole_cents(amount: Column) -> Column:
+    """BIGINT cents of a DOUBLE amount that is a number of cents below 1e13; NULL for any other.
+
+    Up to 15 digits, a double has one decimal number that prints as it, so this
+    is the same decimal that ``exact_amount`` gives, without its text.
+    """
+    cents = F.when(F.abs(amount) < 1e13, F.rint(amount * 100.0).cast("bigint"))
+    return F.when(cents.cast("double") / F.lit(100.0) == amount, cents)
+
+
 def money_sum(amount: Column) -> Column:
-    """Aggregate: unrounded sum of DOUBLE amounts, as DOUBLE; NULL without amounts."""
-    exact = F.try_sum(exact_amount(amount)).cast("double")
-    misfits = F.sum(F.when(exact_amount(amount).isNull(), amount))
-    return F.when(misfits.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + misfits)
+    """Aggregate: unrounded sum of DOUBLE amounts, as DOUBLE; NULL without amounts.
+
+    Whole cents, the usual case, are added as two BIGINT halves, which cannot overflow below 2^31 rows of a
+    group and task; only other amounts become decimals.
+    """
+    cents = whole_cents(amount)
+    odd = F.when(cents.isNull(), exact_amount(amount))
+    misfit = F.when(cents.isNull() & exact_amount(amount).isNull(), amount)
+    zero, none = F.lit(0).cast("decimal(19,0)"), F.lit(0).cast(_TOTAL)
+    high, low = F.sum(F.shiftright(cents, 32)), F.sum(cents.bitwiseAND(F.lit(0xFFFFFFFF)))
+    usual = ((F.coalesce(high.cast("decimal(19,0)"), zero) * F.lit(Decimal(1 << 32))
+              + F.coalesce(low.cast("decimal(19,0)"), zero)) * F.lit(Decimal("0.01"))).cast(_TOTAL)
+    rest = F.when(F.count(odd) == 0, none).otherwise(F.try_sum(odd).try_cast(_TOTAL))
+    return F.when(F.count(amount) > 0, (usual + rest).cast("double") + F.coalesce(F.sum(misfit), F.lit(0.0)))
 
 
 def py_float_text(x: Column) -> Column:
