@@ -396,4 +396,20 @@ SELECT '{P}/receipt/' || store_id2 || '/' || cashier_id || '/' || payment_method
        transaction_id2 AS key, 'application=json' AS header, store_id2 AS payload_store_id
 FROM nx WHERE outcome = 'published'"""
 ORACLE["generic_fold"] = ORACLE["turnover_10s"]
+ORACLE["longest_rise"] = with_(SALES, """hours AS (
+  SELECT *, epoch_us(event_time) // 3600000000 * 3600000000 AS ws FROM sales),
+steps AS (
+  SELECT *, CASE WHEN total_amount > lag(total_amount) OVER (PARTITION BY store_id, ws ORDER BY event_time, event_id)
+                 THEN 0 ELSE 1 END AS breaks
+  FROM hours),
+runs AS (
+  SELECT *, sum(breaks) OVER (PARTITION BY store_id, ws ORDER BY event_time, event_id) AS run FROM steps),
+lengths AS (
+  SELECT store_id, ws, run, count(*) AS n, arg_min(total_amount, nth) AS first_amount,
+         arg_max(total_amount, nth) AS last_amount
+  FROM (SELECT *, row_number() OVER (PARTITION BY store_id, ws, run ORDER BY event_time, event_id) AS nth FROM runs)
+  GROUP BY store_id, ws, run)""") + f"""
+SELECT store_id, {iso('make_timestamp(ws)')} AS window_start, CAST(sum(n) AS BIGINT) AS n_events,
+       arg_min(first_amount, run) AS first_amount, arg_max(last_amount, run) AS last_amount, max(n) AS longest_rise
+FROM lengths GROUP BY store_id, ws"""
 ORACLE["json_lookup"] = "SELECT p_name AS name, p_retailprice AS price FROM part"

@@ -293,6 +293,16 @@ def q_generic_fold(spark: SparkSession, sf: str) -> DataFrame:
         iso_utc(F.timestamp_micros("max_us")).alias("end_stream_aggregator"))
 
 
+def q_longest_rise(spark: SparkSession, sf: str) -> DataFrame:
+    """Longest stretch of rising sales per store and hour: a fold in the order of the rows."""
+    from ..operators.segments import LONGEST_RISE, ordered_fold
+    folded = ordered_fold(sales_events(spark, sf), "store_id", "event_time", ["total_amount"], ["event_time", "event_id"],
+                          LONGEST_RISE, length_seconds=3600)
+    return folded.select("store_id", iso_utc(F.col("window_start")).alias("window_start"), "n_events",
+                         F.col("first").alias("first_amount"), F.col("last").alias("last_amount"),
+                         F.col("longest").alias("longest_rise"))
+
+
 def q_json_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Item catalogue (from ``part``) as JSON array documents, read back."""
     import uuid
@@ -352,6 +362,7 @@ QUERIES: dict[str, Query] = {
     "outcome_counts": q_outcome_counts,
     "lag_histogram": q_lag_histogram,
     "generic_fold": q_generic_fold,
+    "longest_rise": q_longest_rise,
     "json_lookup": q_json_lookup,
 }
 
