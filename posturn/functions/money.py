@@ -18,6 +18,8 @@ SCALE = 10
 MONEY = f"decimal(28,{SCALE})"
 #: One digit below the largest decimal, so that the sum of two keeps all decimals.
 _TOTAL = f"decimal(37,{SCALE})"
+#: Bits of the lower half of an amount in cents (below 2^50).
+_HALF = 25
 
 
 def exact_amount(amount: Column) -> Column:
@@ -49,15 +51,15 @@ def whole_cents(amount: Column) -> Column:
 def money_sum(amount: Column) -> Column:
     """Aggregate: unrounded sum of DOUBLE amounts, as DOUBLE; NULL without amounts.
 
-    Whole cents, the usual case, are added as two BIGINT halves, which cannot overflow below 2^31 rows of a
-    group and task; only other amounts become decimals.
+    Whole cents, the usual case, are added as two halves of 25 bits in BIGINTs, which cannot overflow below 2^38
+    rows of a group; only other amounts become decimals.
     """
     cents = whole_cents(amount)
     odd = F.when(cents.isNull(), exact_amount(amount))
     misfit = F.when(cents.isNull() & exact_amount(amount).isNull(), amount)
     zero, none = F.lit(0).cast("decimal(19,0)"), F.lit(0).cast(_TOTAL)
-    high, low = F.sum(F.shiftright(cents, 32)), F.sum(cents.bitwiseAND(F.lit(0xFFFFFFFF)))
-    usual = ((F.coalesce(high.cast("decimal(19,0)"), zero) * F.lit(Decimal(1 << 32))
+    high, low = F.sum(F.shiftright(cents, _HALF)), F.sum(cents.bitwiseAND(F.lit((1 << _HALF) - 1).cast("bigint")))
+    usual = ((F.coalesce(high.cast("decimal(19,0)"), zero) * F.lit(Decimal(1 << _HALF))
               + F.coalesce(low.cast("decimal(19,0)"), zero)) * F.lit(Decimal("0.01"))).cast(_TOTAL)
     rest = F.when(F.count(odd) == 0, none).otherwise(F.try_sum(odd).try_cast(_TOTAL))
     return F.when(F.count(amount) > 0, (usual + rest).cast("double") + F.coalesce(F.sum(misfit), F.lit(0.0)))
