@@ -8,8 +8,11 @@ operator.  A row is late when its window has closed, as in the native window
 aggregate; Spark leaves such rows out before the fold, so a closed window is
 never emitted twice and an out-of-order row of an open window still counts.
 
-The group is (key, window), not key: a hot store is split into its windows,
-and one group's rows in one micro-batch are bounded by the trigger size.
+A call of Python costs far more than a row, and most windows hold few rows.  So a
+group is not one window but one of ``BUCKETS`` hash buckets of (key, window): its
+state holds the accumulators of its open windows, and one call folds its rows of
+a micro-batch and emits what has closed.  A hot store is split into its
+windows, and one group's rows in one micro-batch are bounded by the trigger size.
 """
 
 from __future__ import annotations
@@ -28,6 +31,9 @@ from ..operators.fold import Acc
 from ..operators.turnover import tumbling_window
 from .closing import before_close
 
+#: Groups of a fold, whatever the number of its windows; part of the state's layout.
+BUCKETS = 128
+
 
 def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: list[str],
                          builder: Callable[[], Acc], folder: Callable[[Acc, dict], Acc],
@@ -48,33 +54,49 @@ def tumbling_fold_stream(df: DataFrame, key: str, time_col: str, value_cols: lis
     # carries the watermark's mark, and the time column travels without it.
     delay = {"spark.watermarkDelayMs": int(lateness_ms)}
     rows = (before_close(df.withWatermark(time_col, f"{int(lateness_ms)} milliseconds"), time_col)
-              .select(F.col(key).alias("_key"), F.unix_micros(w.start).alias("_ws"),
+              .select(F.pmod(F.xxhash64(F.col(key), w.start), F.lit(BUCKETS)).alias("_bucket"), F.col(key).alias("_key"),
+                      F.col(key).isNull().alias("_none"), F.unix_micros(w.start).alias("_ws"),
                       F.unix_micros(w.end).alias("_we"),
                       F.timestamp_micros(F.unix_micros(w.end)).alias("_close", metadata=delay),
                       F.timestamp_micros(F.unix_micros(F.col(time_col))).alias(time_col),
                       *[c for c in value_cols if c != time_col]))
     acc_fields = [f.name for f in acc_schema.fields]
-    out_schema = T.StructType([T.StructField("_key", df.schema[key].dataType),
-                               T.StructField("_ws", T.LongType()), T.StructField("_we", T.LongType()),
-                               *acc_schema.fields])
+    key_type = df.schema[key].dataType
+    out_schema = T.StructType([T.StructField("_key", key_type), T.StructField("_ws", T.LongType()),
+                               T.StructField("_we", T.LongType()), *acc_schema.fields])
+    state_schema = T.StructType([T.StructField("open", T.ArrayType(out_schema))])
+    # pandas turns whole numbers with a NULL among them into doubles, so a NULL key travels as a flag.
+    if isinstance(key_type, (T.IntegralType, T.BooleanType)):
+        rows = rows.withColumn("_key", F.coalesce("_key", F.lit(0).cast(key_type)))
+    passed = [c for c in rows.columns if c != "_close"]
 
     def fold(group: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k, start_us, end_us = group
-        if state.hasTimedOut:
-            acc = dict(zip(acc_fields, state.get))
+        held = state.get[0] if state.exists else []
+        open_accs = {(r[0], r[1], r[2]): dict(zip(acc_fields, r[3:])) for r in held}
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for rec in pdf[passed].to_dict("records"):
+                    at = None if rec["_none"] else rec["_key"], rec["_ws"], rec["_we"]
+                    acc = open_accs.get(at)
+                    open_accs[at] = folder(builder() if acc is None else acc, rec)
+        # A row is late from the batch on after the watermark has reached its window's end: none follows what is emitted.
+        watermark_us = state.getCurrentWatermarkMs() * 1000
+        closed = [at for at in open_accs if at[2] <= watermark_us]
+        if closed:
+            yield pd.DataFrame([_row(at, open_accs.pop(at)) for at in closed], columns=out_schema.names, dtype=object)
+        if open_accs:
+            state.update(([_row(at, acc) for at, acc in open_accs.items()],))
+            # Fires once the watermark reaches the first window end (watermark > end - 1 ms);
+            # a timeout must lie ahead of the batch's watermark.
+            first = min(end for _, _, end in open_accs)
+            state.setTimeoutTimestamp(max(-(-first // 1000) - 1, watermark_us // 1000 + 1))
+        elif state.exists:
             state.remove()
-            yield pd.DataFrame([{"_key": k, "_ws": start_us, "_we": end_us, **{f: acc.get(f) for f in acc_fields}}])
-            return
-        acc = dict(zip(acc_fields, state.get)) if state.exists else builder()
-        for pdf in pdfs:
-            for rec in pdf.to_dict("records"):
-                acc = folder(acc, rec)
-        state.update(tuple(acc.get(f) for f in acc_fields))
-        # Fires once the watermark reaches the window end (watermark > end - 1 ms);
-        # a timeout must lie ahead of the batch's watermark.
-        state.setTimeoutTimestamp(max(int(end_us) // 1000 - 1, state.getCurrentWatermarkMs() + 1))
 
-    folded = rows.groupBy("_key", "_ws", "_we").applyInPandasWithState(
-        fold, out_schema, acc_schema, "append", GroupStateTimeout.EventTimeTimeout)
+    def _row(at: tuple, acc: Acc) -> tuple:
+        return (*at, *[acc.get(f) for f in acc_fields])
+
+    folded = rows.groupBy("_bucket").applyInPandasWithState(
+        fold, out_schema, state_schema, "append", GroupStateTimeout.EventTimeTimeout)
     return folded.select(F.col("_key").alias(key), F.timestamp_micros("_ws").alias("window_start"),
                          F.timestamp_micros("_we").alias("window_end"), *acc_fields)

@@ -122,6 +122,35 @@ def test_stream_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "stream_generic_fold", "turnover_10s")
 
 
+def test_stream_fold_calls_python_per_bucket_not_per_window(spark, monkeypatch):
+    """State has a row per bucket; null and numeric keys, late rows and restarts count as in a window each."""
+    from posturn.operators.fold import TURNOVER_ACC, turnover_builder, turnover_folder
+    from posturn.streaming import fold
+    monkeypatch.setattr(fold, "BUCKETS", 4)
+    root = scratch_path(spark, "streams", "fold-buckets")
+    schema = "shop long, event_time_us long, total_amount double"
+    runs = [[(k % 7 or None, k * 1_000_000, 1.0) for k in range(700)], [(1, 5_000_000, 9.0), (2, 695_000_000, 2.0)],
+            [(3, 10**12, 1.0)], [(4, 2 * 10**12, 1.0)]]
+    for rows in runs:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(os.path.join(root, "in"))
+        sales = spark.readStream.schema(schema).parquet(os.path.join(root, "in")) \
+            .withColumn("event_time", F.timestamp_micros("event_time_us"))
+        folded = fold.tumbling_fold_stream(sales, "shop", "event_time", ["event_time_us", "total_amount"], turnover_builder,
+                                           turnover_folder, TURNOVER_ACC)
+        q = folded.writeStream.format("parquet").option("path", os.path.join(root, "out")) \
+            .option("checkpointLocation", os.path.join(root, "ckpt")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert all(p["stateOperators"][0]["numRowsTotal"] <= 4 for p in q.recentProgress)
+    want = {}
+    for shop, us, amount in runs[0] + [runs[1][1]] + runs[2]:
+        at = shop, us // 10_000_000
+        n, total = want.get(at, (0, 0.0))
+        want[at] = n + 1, total + amount
+    got = [((r.shop, r.window_start.minute * 6 + r.window_start.second // 10 if r.min_us < 10**12 else 10**5),
+            (r.n_events, float(r.total))) for r in spark.read.parquet(os.path.join(root, "out")).collect()]
+    assert sorted(got, key=repr) == sorted(want.items(), key=repr) and len(got) > 400
+
+
 def test_generic_fold_equals_turnover(spark, duck):
     _check(spark, duck, "generic_fold", "turnover_10s")
 
