@@ -77,6 +77,8 @@ class ProgressCounts(StreamingQueryListener):
         row = p.observedMetrics.get(self.name)
         if row is None or (str(p.id), p.batchId) in self._seen:
             return
+        if not row["rows"]:  # a batch of files without rows adds nothing
+            return
         with self._changed:
             self._seen.add((str(p.id), p.batchId))
             for key, n in row.asDict().items():
