@@ -102,3 +102,22 @@ def test_py_float_text_outside_positional_range(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r.t for r in df.select(py_float_text(F.col("x")).alias("t")).collect()]
     assert got == [repr(v) for v in vals]
+
+
+def test_message_text_is_parsed_once(spark):
+    """The mark and the value are read from one parse, and forged or trailing text stays malformed."""
+    from pyspark.sql import functions as F
+    from posturn.functions.jsonv import parse_single_json
+    texts = ['{"a":1}', '{"a":1} x', '{"a":1},"end"', 'null', '[1]', '{"a":1},"b"]', '', None]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    parsed = df.select("value", F.to_json(parse_single_json(F.col("value"))).alias("v"))
+    assert [r.v for r in parsed.collect()] == ['{"a":1}', None, None, 'null', '[1]', None, None, None]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+def test_noise_kind_is_computed_once(spark):
+    """The chain of damage rules is bound, not repeated for each of the rules that asks for it."""
+    from posturn.sources.fixtures import NOISE_RULES, noisy_transaction_feed
+    plan = noisy_transaction_feed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(f"% {NOISE_RULES[0][1]}") == 1
