@@ -12,7 +12,7 @@ from posturn.streaming.closing import CLOSE_KEY, land_closing
 from posturn.streaming import sources
 from posturn.streaming.lateness import strict_late_scan_writer, strict_late_tags
 from posturn.streaming.queries import start_turnover_stream
-from posturn.streaming.sources import kafka_options, read_landing
+from posturn.streaming.sources import kafka_options, land_in_order, read_landing
 from posturn.streaming.strict import OUTPUT, closed_windows, strict_turnover
 
 from conftest import SF001, register_tables
@@ -290,3 +290,22 @@ def test_kafka_sink_writer_is_declared(spark):
         "array(named_struct('key', 'application', 'value', CAST('json' AS BINARY))) AS headers")
     w = stream_envelopes_kafka(df, kafka_sink_options("broker:9092"), "/tmp/unused-ckpt")
     assert w is not None   # starting it needs the connector, which plain PySpark lacks
+
+
+def test_feed_is_made_once_for_landing(spark, tmp_path):
+    """Size, range bounds and files are three passes, but the feed's own work is done once."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def value(k):
+        made.add(1)
+        return f"message {k}"
+
+    feed = spark.range(0, 1000, 1, 4).select(F.col("id").cast("string").alias("key"), value("id").alias("value"),
+                                             (-F.col("id")).alias("place"))
+    path = land_in_order(feed, ["place"], str(tmp_path / "landing"), file_bytes=2000)
+    assert made.value == 1000
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(files) > 3 and sorted(files, key=lambda f: os.path.getmtime(os.path.join(path, f))) == files
+    keys = [[int(r["key"]) for r in spark.read.parquet(os.path.join(path, f)).collect()] for f in files]
+    assert all(min(a) > max(b) for a, b in zip(keys, keys[1:])) and sum(map(len, keys)) == 1000
