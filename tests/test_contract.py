@@ -69,3 +69,25 @@ def test_rules_of_callers_agree_on_both(judged):
     assert same.within(TRANSACTION) and not other.within(TRANSACTION)
     assert [r.asDict() for r in quick] == [{k: v for k, v in r.asDict().items() if k != "more_ok"} for r in slow]
     assert not any(r["more_ok"] for r in slow)
+
+
+def test_compact_texts_need_no_blanks_pattern():
+    """The short pattern takes a subset of what the whole one takes: writers' blanks, not others."""
+    import re
+
+    from posturn.operators.contract import COMPACT_RE, MESSAGE_RE
+    tight, usual, wide = json.dumps(MESSAGE, separators=(",", ":")), TEXT, json.dumps(MESSAGE, indent=1)
+    texts = [tight, usual, wide, usual + " x", usual.replace("1.5", '"1.5"'), usual.replace('"part 7"', "null")]
+    short, whole = ([bool(re.search(p.replace(r"\z", r"\Z"), t)) for t in texts] for p in (COMPACT_RE, MESSAGE_RE))
+    assert short == [True, True, False, False, False, False]
+    assert whole == [True, True, True, False, False, False]
+
+
+def test_outcomes_do_not_build_the_record(spark):
+    """A query that reads outcomes alone neither makes the typed record nor adds up its basket."""
+    judged = validate_stage(spark.createDataFrame([(1, "{}")], "k long, value string"))
+
+    def plan(*columns):
+        return judged.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" in plan("outcome", "txn")
+    assert "aggregate(" not in plan("k", "outcome", "errors")
