@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from posturn.operators.contract import is_plain, typed_message
+from posturn.operators.contract import is_plain, is_written, typed_message
 from posturn.operators.rules import STRING, TRANSACTION, Rule, rule_flags
 from posturn.plans.batch import validate_stage
 
@@ -91,3 +91,35 @@ def test_outcomes_do_not_build_the_record(spark):
         return judged.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
     assert "aggregate(" in plan("outcome", "txn")
     assert "aggregate(" not in plan("k", "outcome", "errors")
+
+
+def test_outcomes_carry_no_parts_of_the_record(spark):
+    """What the record is made of is not bound: nobody reads it, so no path makes it."""
+    judged = validate_stage(spark.createDataFrame([(1, "{}")], "k long, value string"))
+
+    def plan(*columns):
+        return judged.select(*columns)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lower(" in plan("outcome", "txn")
+    assert "lower(" not in plan("k", "outcome", "errors")
+
+
+def test_written_texts(spark):
+    """A text is told from the message written again only if that is the whole of it and every field is set."""
+    tight = json.dumps(MESSAGE, separators=(",", ":")).replace('"quantity":2,', '"quantity":2.0,').replace(":6,", ":6.0,")
+    others = [TEXT, tight + " x", tight + tight, tight.replace('"cash"', "null", 1), tight.replace("6.0,", '"NaN",', 1),
+              tight.replace("6.0,", '"6.0",', 1), tight.replace("6.0,", '"-Infinity",', 1), tight.replace("6.0,", "6.00,", 1),
+              tight.replace('"customer_id":"CUSTOMER_1",', ""), tight.replace("{", '{"more":1,', 1),
+              tight.replace("[{", "[null,{", 1), tight.replace('"STORE_3"', "7"), "null", "", None]
+    df = spark.createDataFrame([(t,) for t in [tight, *others]], "value string")
+    got = [r[0] for r in df.select(is_written(F.col("value"), typed_message(F.col("value")))).collect()]
+    assert got[0] is True and not any(got[1:])
+
+
+def test_lines_of_every_kind_agree(judged):
+    """Errors of lines, told from whole columns of lines at first, are those of each line on the slow path."""
+    lines = [{**LINE, "quantity": q, "price_per_unit": p} for q in (1, 2.5, 0, -3, 1e19, 4e18) for p in (1.0, 0, -1e-9)]
+    messages = [edited(receipt={**MESSAGE["receipt"], "total_amount": 6.0}, items=[LINE, line]) for line in lines]
+    plain = judged([json.dumps(m) for m in messages])
+    assert plain == judged([json.dumps(dict(reversed(m.items()))) for m in messages])
+    wrong = judged([json.dumps({**m, "customer_id": 7}) for m in messages])[1]   # the slow path for certain
+    assert [[e for e in r["errors"] if "customer_id" not in e] for r in wrong] == [r["errors"] for r in plain[1]]
