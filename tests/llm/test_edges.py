@@ -601,3 +601,37 @@ def test_url_filter_with_very_many_labels(spark):
     got = {r.page_id: (r.rule, r.verdict) for r in filter_urls(pages, rules, listed).collect()}
     assert got == {1: ("org/fr/", "allow"), 2: ("net/", "block"), 3: ("net/", "block"),
                    4: ("example.net/en/", "allow"), 5: (None, "allow")}
+
+
+def test_decontamination_axes_of_all_blocks(spark, monkeypatch):
+    """The latent axes are fitted on every block: smaller tasks of the fit give the same cosines."""
+    from posturn.llm import decontam
+
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(600)]
+    items = [(k, " ".join(rng.choice(words, 14))) for k in range(40)]
+    texts = [(k, " ".join(rng.choice(words, 90)) + (" " + items[k % 40][1] if k % 3 == 0 else "")) for k in range(240)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5, "doc_id")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def cosines():
+        return {(r.doc_id, r.item_id): r.cosine for r in decontam.leaks(docs, bench, exhaustive=True, rank=24).collect()}
+
+    whole = cosines()
+    monkeypatch.setattr(decontam, "FIT_BLOCKS", 100)
+    parts = cosines()
+    assert len(whole) >= 80 and whole.keys() == parts.keys()
+    assert max(abs(whole[k] - parts[k]) for k in whole) < 1e-4
+
+
+def test_decontamination_sums_of_runs():
+    from posturn.llm.decontam import BLOCK_WORDS, _block_sums, _run_sums
+
+    rng = np.random.default_rng(13)
+    size = np.r_[np.arange(1, BLOCK_WORDS + 1), rng.integers(1, BLOCK_WORDS + 1, 200)]
+    start = np.r_[0, np.cumsum(size)[:-1]]
+    table = rng.standard_normal((50, 6)).astype(np.float32)
+    index = rng.integers(0, 50, size.sum())
+    plain = np.array([table[index[a:a + n]].sum(axis=0, dtype=np.float64) for a, n in zip(start, size)])
+    assert np.abs(_block_sums(table, index, start) - plain).max() < 1e-4
+    assert np.abs(_run_sums(table.astype(np.float64), index, start) - plain).max() < 1e-12
