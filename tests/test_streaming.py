@@ -309,3 +309,20 @@ def test_feed_is_made_once_for_landing(spark, tmp_path):
     assert len(files) > 3 and sorted(files, key=lambda f: os.path.getmtime(os.path.join(path, f))) == files
     keys = [[int(r["key"]) for r in spark.read.parquet(os.path.join(path, f)).collect()] for f in files]
     assert all(min(a) > max(b) for a, b in zip(keys, keys[1:])) and sum(map(len, keys)) == 1000
+
+
+def test_consumed_folders_are_gone(spark, tmp_path, monkeypatch):
+    """The copy a feed is landed from, the landed feed and A's topic go once they are read; A's and B's outputs stay."""
+    feed = spark.range(200).select(F.col("id").cast("string").alias("key"), F.lit("x").alias("value"), "id")
+    land_in_order(feed, ["id"], str(tmp_path / "landing"), file_bytes=50)
+    assert sorted(os.listdir(tmp_path)) == ["landing"]
+    assert spark.read.parquet(str(tmp_path / "landing")).count() == 200
+
+    root = str(tmp_path / "chain")
+    monkeypatch.setattr(SQ, "_run_root", lambda spark, name: root)
+    monkeypatch.setattr(SQ, "noisy_transaction_feed", lambda spark, sf, sent_at: spark.createDataFrame(
+        [(k, "not a message", k) for k in range(20)], "o_orderkey long, value string, sent_at long"))
+    SQ.q_stream_chain(spark, "no tables").collect()
+    assert {"a", "b"} <= set(os.listdir(root)) and not {"landing", "landing-made"} & set(os.listdir(root))
+    assert "validated" in os.listdir(os.path.join(root, "a")) and "published" not in os.listdir(os.path.join(root, "a"))
+    assert spark.read.parquet(os.path.join(root, "a", "validated")).count() == 20
