@@ -635,3 +635,19 @@ def test_decontamination_sums_of_runs():
     plain = np.array([table[index[a:a + n]].sum(axis=0, dtype=np.float64) for a, n in zip(start, size)])
     assert np.abs(_block_sums(table, index, start) - plain).max() < 1e-4
     assert np.abs(_run_sums(table.astype(np.float64), index, start) - plain).max() < 1e-12
+
+
+def test_passages_of_a_holder_between_others(spark):
+    """The whole passage lies between documents with its halves before and after it, so it is no seed's first or last holder."""
+    from posturn.llm.passages import repeated_passages
+    rng = random.Random(6)
+    rows, wanted = [], set()
+    for case in range(20):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(80)]
+        edited = [f"e{rng.randrange(10**9)}" if k % 9 == 4 else w for k, w in enumerate(words)]
+        texts = [words[:40], words[40:], words, words[:40], words[40:], edited]
+        rows += [(case * 10 + k, " ".join(t + [f"u{rng.randrange(10**9)}" for _ in range(30)])) for k, t in enumerate(texts)]
+        wanted.add((case * 10 + 5, case * 10 + 2))
+    got = {(r.doc_id, r.source_id) for r in
+           repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == wanted
