@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import random
 
 import duckdb
 import pytest
@@ -125,3 +126,22 @@ def test_pipeline_judges_rows_not_ids(spark):
     assert {r[2].lower() for r in got} == {text(n) for n in range(1, 7)}
     got = texts(corpus_pipeline.decontaminate, [(None, item), (None, text(1)), (2, text(2)), (2, f"so {item}"), (3, text(9))])
     assert got == want((None, text(1)), (2, text(2)), (3, text(9)))
+
+
+def test_pipeline_fits_the_axes_on_every_row(spark, tmp_path, monkeypatch):
+    """Both passes of the fit read all rows of the stage, however many blocks they have."""
+    from posturn.llm import decontam
+
+    rng = random.Random(9)
+    text = lambda n: " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+    spark.createDataFrame([(k, text(20)) for k in range(3)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(k, text(70)) for k in range(60)], "doc_id long, text string")
+    seen, summed = [], decontam._summed
+
+    def counted(df, *args):
+        seen.append(df.count())
+        return summed(df, *args)
+    monkeypatch.setattr(decontam, "_summed", counted)
+    monkeypatch.setattr(decontam, "FIT_BLOCKS", 20)
+    assert corpus_pipeline.decontaminate(spark, docs, str(tmp_path)).count() == 60
+    assert seen == [60, 60]
